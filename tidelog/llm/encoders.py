@@ -1,15 +1,14 @@
-"""Token ids of whole texts, with one model call per distinct piece of text.
+"""Token ids of whole texts, with one model call per distinct pre-token.
 
-The ids equal those of the ``tokenizers`` library for the whole text. Texts are cut
-only where no pre-token of the vocabulary's splitting rule can reach across:
+The ids equal those of the ``tokenizers`` library for the whole text. A text of plain
+Latin characters is split by an equivalent of the vocabulary's rule, and each pre-token
+goes through its BPE model once, as long as it stays in a cache of bounded size. Other
+texts are cut where no pre-token can reach across, and the chunks with other characters
+go through the library's whole pipeline:
 
 * byte-level rule: between a character that is not white space and a single blank
   followed by a character that is not white space;
 * word rule (white space dropped): at every white space.
-
-The ids of each chunk are kept in a cache of bounded size. Chunks made of plain Latin
-characters are split by an equivalent of the vocabulary's rule and go straight to its
-BPE model; all others go through the library's whole pipeline.
 """
 
 from __future__ import annotations
@@ -30,7 +29,6 @@ _BYTE_RULE = re.compile(
     r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 )
 _WORD_RULE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_MIXED_SPACE = re.compile(r"\s \s|\s \Z|\A \s|\A \Z")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -51,10 +49,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # the caches below take its place
         self.kind = self._kind()
         self.alphabet = {i: c for i, c in enumerate(_byte_alphabet())}
-        self.cache = TwoGenerations(self._chunk, most=150_000)
-        self.pieces = TwoGenerations(self._piece, most=150_000)
+        self.pieces = TwoGenerations(self._piece, most=400_000)
+        self.rule = _BYTE_RULE if self.kind == "byte" else _WORD_RULE
 
     def _kind(self) -> str:
         import json
@@ -77,26 +76,19 @@ class Encoder:
         as_bytes = piece if piece.isascii() and piece.isprintable() and piece[0] != " " else piece.encode().decode("latin-1").translate(self.alphabet)
         return array("I", [t.id for t in self.model.tokenize(as_bytes)]).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        if not (chunk.isascii() and chunk.isprintable() or _PLAIN.fullmatch(chunk)):
-            return self._library(chunk)
-        pieces = self.pieces
-        if self.kind == "word":
-            return b"".join([pieces[p] for p in _WORD_RULE.findall(chunk.lower())])
-        return b"".join([pieces[p] for p in _BYTE_RULE.findall(chunk)])
+    def _plain(self, text: str) -> bytes:
+        return b"".join([*map(self.pieces.__getitem__, self.rule.findall(text.lower() if self.kind == "word" else text))])
 
     def encode(self, text: str) -> bytes:
-        if self.kind == "whole" or (self.kind == "word" and _SEPARATORS.search(text)):
+        if self.kind == "whole":
             return self._library(text)
-        if self.kind == "word":
-            chunks = text.split()
-        elif _MIXED_SPACE.search(text):
+        if _PLAIN.fullmatch(text):
+            return self._plain(text)
+        if self.kind == "byte":
             chunks = _CUT.split(text)
         else:
-            first, *rest = text.split(" ")
-            chunks = [first, *[f" {x}" for x in rest]]
-        cache = self.cache
-        return b"".join([cache[c] for c in chunks])
+            chunks = [text] if _SEPARATORS.search(text) else text.split()
+        return b"".join([self._plain(c) if _PLAIN.fullmatch(c) else self._library(c) for c in chunks])
 
 
 @lru_cache(maxsize=2)
