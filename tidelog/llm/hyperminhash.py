@@ -90,17 +90,27 @@ def registers(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def band_hashes(sig: np.ndarray, rows: int) -> np.ndarray:
-    """Hash of each band of each signature; 0 for a band without any shingle."""
+    """Hash of each band of each signature.
+
+    An empty bucket takes the register of the next one that isn't, together with its
+    number, and bands are made of buckets from all over, not of neighbours. So a band of a
+    short text rests on as many draws as one of a long text, and agrees as rarely by chance.
+    """
     n, buckets = sig.shape
-    parts = sig.reshape(n, buckets // rows, rows).astype("u8")
+    full = sig != EMPTY
+    at = np.where(full, np.arange(buckets), 2 * buckets)
+    following = np.minimum.accumulate(at[:, ::-1], axis=1)[:, ::-1]
+    first = at.min(axis=1, keepdims=True)
+    source = np.where(following < buckets, following, first)
+    taken = np.take_along_axis(sig, np.minimum(source, buckets - 1), axis=1).astype("u8") | source.astype("u8") << np.uint64(16)
+    order = np.argsort(_finish(np.arange(1, buckets + 1, dtype="u8") * _MUL), kind="stable")
+    parts = taken[:, order].reshape(n, buckets // rows, rows)
     acc = np.broadcast_to(np.arange(1, buckets // rows + 1, dtype="u8"), parts.shape[:2]).copy()
     with np.errstate(over="ignore"):
         for k in range(rows):
             acc = acc * _MUL + parts[:, :, k]
             acc ^= acc >> np.uint64(31)
-        acc = _finish(acc) | np.uint64(1)
-    acc[(sig.reshape(n, buckets // rows, rows) == EMPTY).all(axis=2)] = 0
-    return acc
+        return _finish(acc)
 
 
 def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,27 +156,24 @@ def _surrogate(digest: str = "digest"):
 
 
 def _bands(classes: DataFrame, buckets: int, rows: int) -> DataFrame:
-    """``band, class_id`` for every band with a shingle."""
+    """``band, class_id, n`` for every band of every class; ``n`` is the size of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), "u2").reshape(n, buckets)
-            found = band_hashes(sig, rows)
-            row, band = np.nonzero(found)
-            yield pa.RecordBatch.from_arrays([pa.array(found[row, band].astype("i8")), batch.column(0).take(pa.array(row))], ["band", "class_id"])
+            for part in range(0, batch.num_rows, 1000):
+                some = batch.slice(part, 1000)
+                sig = np.frombuffer(b"".join(some.column(2).to_pylist()), "u2").reshape(some.num_rows, buckets)
+                found = band_hashes(sig, rows)
+                row = pa.array(np.repeat(np.arange(some.num_rows), found.shape[1]))
+                yield pa.RecordBatch.from_arrays([pa.array(found.ravel().view("i8")), some.column(0).take(row), some.column(1).take(row)], ["band", "class_id", "n"])
 
-    return classes.select("class_id", "sig").mapInArrow(run, "band long, class_id long")
+    return classes.select("class_id", F.col("n_shingles").cast("int").alias("n"), "sig").mapInArrow(run, "band long, class_id long, n int")
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, threshold: float, errors: float) -> DataFrame:
     """Pairs whose estimate is not below the threshold by more than ``errors`` standard errors."""
     side = lambda x: classes.select(F.col("class_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    # Sizes alone rule out a pair of too different sets.
-    joined = joined.where(F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,6 +188,23 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float, errors: floa
     return joined.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
+FILTER_BITS = 1 << 26
+
+
+def _may_contain(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id may be in ``ids``: all that are, and few others.
+
+    The bits of the ids' hashes, of a fixed size of 8 MB at most, go to all tasks, so the
+    texts of other documents aren't shuffled for the exact join that follows.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bits = ids.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("chunk")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte.cast("long"), (at % 8).cast("int")) == 1
+    return docs.withColumn("chunk", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "chunk").where(is_set).select(*docs.columns)
+
+
 def _sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
     """Full shingle sets of the classes in ``ids(class_id)``, made again from their texts."""
 
@@ -190,7 +214,8 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
             sets = [shingler.shingles(t.as_py() or "").view("i8") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["class_id", "shingles"])
 
-    chosen = docs.join(ids.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    wanted = ids.select(F.col("class_id").alias("doc_id"))
+    chosen = _may_contain(docs, wanted).join(wanted, "doc_id", "left_semi")
     return chosen.mapInArrow(run, "class_id long, shingles array<long>")
 
 
@@ -256,20 +281,22 @@ def near_duplicates(
         named = named.unionByName(by_digest.select(_surrogate().alias("doc_id"), "text"))
 
     bands = _bands(classes, buckets, rows)
-    first = bands.groupBy("band").agg(F.min("class_id").alias("hub"), F.count("*").alias("n")).where(F.col("n") > 1)
-    shared = materialize(bands.join(first.select("band", "hub"), "band"), "bands")
-    stars = shared.where(F.col("class_id") != F.col("hub")).select(F.col("class_id").alias("a"), F.col("hub").alias("b")).distinct()
+    least = F.min(F.struct("class_id", "n"))
+    first = bands.groupBy("band").agg(least.alias("hub"), F.count("*").alias("members")).where(F.col("members") > 1)
+    shared = materialize(bands.join(first.select("band", F.col("hub.class_id").alias("hub"), F.col("hub.n").alias("hub_n")), "band"), "bands")
+    near = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent  # noqa: E731  sizes that allow a link
+    stars = shared.where((F.col("class_id") != F.col("hub")) & near("n", "hub_n")).select(F.col("class_id").alias("a"), F.col("hub").alias("b")).distinct()
     stars = materialize(_likely(stars, classes, threshold, errors), "stars")
     links = materialize(_verified(stars, named, shingle_words, percent), "links")
     found = materialize(components(links, "links1"), "components")
 
     # What is left: pairs of a band in different components, without those tried above.
-    labelled = shared.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("band", "class_id", "hub", F.coalesce("component", "class_id").alias("component"))
+    labelled = shared.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("band", "class_id", "n", "hub", F.coalesce("component", "class_id").alias("component"))
     mixed = labelled.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi")).select("band")
     open_bands = materialize(labelled.join(mixed, "band"), "open")
-    one = open_bands.select("band", F.col("class_id").alias("b"), F.col("component").alias("cb"), "hub").where(F.col("class_id") != F.col("hub"))
-    two = open_bands.select("band", F.col("class_id").alias("a"), F.col("component").alias("ca"))
-    across = one.join(two, "band").where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b").distinct()
+    one = open_bands.where(F.col("class_id") != F.col("hub")).select("band", F.col("class_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
+    two = open_bands.select("band", F.col("class_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
+    across = one.join(two, "band").where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & near("na", "nb")).select("a", "b").distinct()
     across = materialize(_likely(across, classes, threshold, errors), "across")
     more = materialize(_verified(across, named, shingle_words, percent), "more")
     if not more.isEmpty():
