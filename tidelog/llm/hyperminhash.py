@@ -7,10 +7,11 @@
 2. Equal sets (equal digests) become one class, summed up before the shuffle, so groups
    of copies of any size are one row from here on.
 3. Bands of registers are hashed; classes that share a band are candidates. Each is
-   paired with the least class of the band, estimated, checked on full sets, and linked.
-   Then only pairs that lie in a band but in different components are left; these go
-   through the same estimate and check, so no link between different texts is lost and no
-   pair inside a component already found is made.
+   paired with the least class of the band, estimated, checked on full sets, and linked;
+   those of other components then with a few members drawn by hash. Only pairs that lie in
+   a band but still in different components are left; these go through the same estimate
+   and check, so no link between different texts is lost, and a group of near copies is
+   not paired with itself beyond the members that its others don't reach.
 4. The estimate corrects for registers that agree by chance, and lets through all that
    lies within five standard errors of the threshold. The check joins full sets.
 """
@@ -231,6 +232,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle_words: int, percent: in
     return both.where(100 * shared >= percent * union).select("a", "b").distinct()
 
 
+def _lifted(found: DataFrame, more: DataFrame) -> DataFrame:
+    """``found`` (node, component) after further links between nodes."""
+    of = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    lifted = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    joint = components(lifted, "lifted")
+    known = found.unionByName(joint.select("node", F.col("node").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
+    renamed = joint.select(F.col("node").alias("component"), F.col("component").alias("new"))
+    return known.join(renamed, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -239,6 +250,7 @@ def near_duplicates(
     buckets: int = 240,
     rows: int = 6,
     errors: float = 5.0,
+    draws: int = 8,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -290,22 +302,36 @@ def near_duplicates(
     links = materialize(_verified(stars, named, shingle_words, percent), "links")
     found = materialize(components(links, "links1"), "components")
 
-    # What is left: pairs of a band in different components, without those tried above.
-    labelled = shared.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("band", "class_id", "n", "hub", F.coalesce("component", "class_id").alias("component"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi")).select("band")
-    open_bands = materialize(labelled.join(mixed, "band"), "open")
-    one = open_bands.where(F.col("class_id") != F.col("hub")).select("band", F.col("class_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    two = open_bands.select("band", F.col("class_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
+    def open_bands(found: DataFrame) -> DataFrame:
+        """Members of bands that hold classes of different components."""
+        labelled = shared.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("band", "class_id", "n", "hub", F.coalesce("component", "class_id").alias("component"))
+        mixed = labelled.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi")).select("band")
+        return materialize(labelled.join(mixed, "band"), "open")
+
+    def joined_by(pairs: DataFrame, found: DataFrame) -> DataFrame:
+        """Components after the links among ``pairs``."""
+        likely = materialize(_likely(pairs, classes, threshold, errors), "likely")
+        more = materialize(_verified(likely, named, shingle_words, percent), "more")
+        if not more.isEmpty():
+            found = materialize(_lifted(found, more), "components")
+        discard(likely, more)
+        return found
+
+    # Members that the hub doesn't reach meet a few others of the band, drawn by hash.
+    left = open_bands(found)
+    drawn = [F.min(F.struct(F.xxhash64("class_id", F.lit(k)).alias("h"), "class_id", "component", "n")).alias(f"d{k}") for k in range(draws)]
+    some = left.groupBy("band").agg(*drawn).select("band", F.explode(F.array_distinct(F.array(*[F.col(f"d{k}").dropFields("h") for k in range(draws)]))).alias("d"))
+    some = left.join(some, "band").where((F.col("component") != F.col("d.component")) & near("n", "d.n"))
+    found = joined_by(some.select(F.greatest("class_id", "d.class_id").alias("a"), F.least("class_id", "d.class_id").alias("b")).distinct(), found)
+    discard(left)
+
+    # Last, all pairs of a band that are still in different components, without those of the first round.
+    left = open_bands(found)
+    one = left.where(F.col("class_id") != F.col("hub")).select("band", F.col("class_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
+    two = left.select("band", F.col("class_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
     across = one.join(two, "band").where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & near("na", "nb")).select("a", "b").distinct()
-    across = materialize(_likely(across, classes, threshold, errors), "across")
-    more = materialize(_verified(across, named, shingle_words, percent), "more")
-    if not more.isEmpty():
-        lifted = more.join(found.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(found.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-        joint = components(lifted.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), "links2")
-        known = found.unionByName(joint.select("node", F.col("node").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
-        relabelled = known.join(joint.select(F.col("node").alias("component"), F.col("component").alias("new")), "component", "left")
-        found = materialize(relabelled.select("node", F.coalesce("new", "component").alias("component")), "components")
-    discard(shared, open_bands, stars, across)
+    found = joined_by(across, found)
+    discard(shared, left, stars)
 
     labels = classes.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("digest", F.coalesce("component", "class_id").alias("component"))
     out = full.select("doc_id", "n_shingles", "digest").join(labels, "digest")
