@@ -48,6 +48,25 @@ def op1_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _op1_sql() -> str:
+    from .chat_prefix_tree import CONTROLS
+
+    escaped = "replace(text, '\\', '\\\\')"
+    for c in CONTROLS:
+        escaped = f"replace({escaped}, '{c}', '{c[0]}\\{c[1:]}')"
+    return f"""
+    WITH t AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, * FROM (VALUES (0, 'user', '</s>[INST] ok [/INST]'), (1, 'assistant', '</s>[INST] ok [/INST]')) v),
+    c AS (
+      SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+        coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
+        CAST(sum(length('<s>' || role || chr(10) || {escaped} || '</s>')) AS BIGINT) AS formatted_chars
+      FROM t GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM c
+    """
+
+
 def _recordings(embeddings: DataFrame) -> DataFrame:
     """Two seconds of audio for each vector, made from its numbers: the media column that the test tables lack."""
     from .audio_chroma import HOP, wav_bytes
@@ -207,6 +226,23 @@ def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir), shingle_words=2, percent=80)
 
 
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS x, len(s) AS n FROM s),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared WHERE 100 * k >= 80 * (na + nb - k)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept FROM n JOIN c USING (doc_id)
+"""
+
+
 def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fertility import score
 
@@ -282,4 +318,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_revisit": OP3_SQL, "op5_license_digest": _op5_sql(), "op10_mixing": _op10_sql()}
+    return {"op1_chat_prefix_tree": _op1_sql(), "op3_warc_revisit": OP3_SQL, "op5_license_digest": _op5_sql(), "op7_hyperminhash": OP7_SQL, "op10_mixing": _op10_sql()}
