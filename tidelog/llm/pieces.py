@@ -32,6 +32,7 @@ class Pieces:
             raise ValueError("a piece spans a blank: texts can't be cut into pre-tokens")
         if self.model.encode_as_pieces("a  b ") != [*self.model.encode_as_pieces("a"), *self.model.encode_as_pieces(" b"), MARK]:
             raise ValueError("the model's normaliser changes blanks")
+        self.numbers = list(range(size))
         self.is_byte = [self.model.is_byte(i) for i in range(size)]
 
     def split(self, text: str) -> list[str]:
@@ -50,6 +51,11 @@ class Pieces:
         """Piece ids of each pre-token."""
         return self._encode(names)
 
+    def ids_of(self, name: str) -> tuple[int, ...]:
+        """Piece ids of one pre-token; equal ids are one object, so that caches of them stay small."""
+        shared = self.numbers
+        return tuple([shared[i] for i in (self.model.encode(name) if name else self._encode([name])[0])])
+
     def _encode(self, names: list[str]) -> list[list[int]]:
         out = self.model.encode(names, num_threads=1)
         for i, name in enumerate(names):
