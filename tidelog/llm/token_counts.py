@@ -69,7 +69,7 @@ def most_used(table: DataFrame, most: int) -> dict[str, int]:
         least = row["step"]
     if least is None:
         return {}
-    return {r[0]: r[1] for r in short.where(step >= least).select("pre_token", "n_pieces").toLocalIterator()}
+    return {r[0]: r[1] for r in short.where(step >= least).select("pre_token", "n_pieces").collect()}
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, *, limit: int = 4096, head: int = 262_144, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
