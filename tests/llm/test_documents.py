@@ -268,3 +268,27 @@ def test_mixing(spark, docs, empty):
     assert got.agg(F.sum("take_tokens")).first()[0] == total // 2
     assert mix(docs, levels, budget=10 * total, weights={}, max_epochs=2).agg(F.sum("take_tokens")).first()[0] == 2 * total
     assert mix(empty, levels, budget_share=(1, 2), weights={}).count() == 0
+
+
+@pytest.mark.parametrize("one_task", [0, 10_000])
+def test_components(spark, one_task):
+    import random
+
+    from tidelog.llm.components import components
+
+    rng = random.Random(one_task)
+    edges = [(i, i + 1) for i in range(60)] + [(200, k) for k in range(201, 260)] + [(rng.randrange(1000, 1200), rng.randrange(1000, 1200)) for _ in range(110)] + [(5, 5), (7, 6), (7, 6), (None, 3)]
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(edges, "a long, b long")
+    assert {r.node: r.component for r in components(df, "t", one_task).collect()} == {x: root(x) for x in parent}
+    assert components(df.limit(0), "t", one_task).count() == 0

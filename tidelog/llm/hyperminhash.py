@@ -9,9 +9,10 @@
 3. Bands of registers are hashed; classes that share a band are candidates. Each is
    paired with the least class of the band, estimated, checked on full sets, and linked;
    those of other components then with a few members drawn by hash. Only pairs that lie in
-   a band but still in different components are left; these go through the same estimate
-   and check, so no link between different texts is lost, and a group of near copies is
-   not paired with itself beyond the members that its others don't reach.
+   a band but still in different components are left, and of these only such whose sets
+   can share enough beside the shingles that nothing else has. They go through the same
+   estimate and check, so no link between different texts is lost, and a group of near
+   copies is not paired with itself.
 4. The estimate corrects for registers that agree by chance, and lets through all that
    lies within five standard errors of the threshold. The check joins full sets.
 """
@@ -220,6 +221,13 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
     return chosen.mapInArrow(run, "class_id long, shingles array<long>")
 
 
+def _own_shingles(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
+    """``class_id, n, own``: how many of the ``n`` shingles of each class no other class in ``ids`` has."""
+    sets = _sets(docs, ids, shingle_words).select("class_id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    alone = sets.groupBy("shingle").agg(F.count("*").alias("uses"), F.min(F.struct("class_id", "n")).alias("c")).where(F.col("uses") == 1)
+    return alone.groupBy("c.class_id", "c.n").agg(F.count("*").cast("int").alias("own"))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     """Pairs whose full sets share at least ``percent`` per cent of their union."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
@@ -326,10 +334,15 @@ def near_duplicates(
     discard(left)
 
     # Last, all pairs of a band that are still in different components, without those of the first round.
+    # What two sets share is no more than either has beside the shingles that only it has.
     left = open_bands(found)
-    one = left.where(F.col("class_id") != F.col("hub")).select("band", F.col("class_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    two = left.select("band", F.col("class_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    across = one.join(two, "band").where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & near("na", "nb")).select("a", "b").distinct()
+    own = _own_shingles(named, left.select("class_id").distinct(), shingle_words)
+    counted = left.join(own, ["class_id", "n"], "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+    one = counted.where(F.col("class_id") != F.col("hub")).select("band", F.col("class_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("most").alias("mb"))
+    two = counted.select("band", F.col("class_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("most").alias("ma"))
+    most = F.least("ma", "mb")
+    possible = 100 * most >= percent * (F.col("na") + F.col("nb") - most)
+    across = one.join(two, "band").where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & possible).select("a", "b").distinct()
     found = joined_by(across, found)
     discard(shared, left, stars)
 
