@@ -216,8 +216,9 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
             sets = [shingler.shingles(t.as_py() or "").view("i8") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["class_id", "shingles"])
 
+    # An inner join (the ids are distinct): a semi-join would be moved before the filter.
     wanted = ids.select(F.col("class_id").alias("doc_id"))
-    chosen = _may_contain(docs, wanted).join(wanted, "doc_id", "left_semi")
+    chosen = _may_contain(docs, wanted).join(wanted, "doc_id")
     return chosen.mapInArrow(run, "class_id long, shingles array<long>")
 
 
