@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -13,3 +15,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-"))
     return df.checkpoint()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session: their Python workers import it, and may not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_tidelog_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tidelog-")) / "tidelog.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._tidelog_shipped = True
