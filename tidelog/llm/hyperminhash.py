@@ -8,11 +8,11 @@
    of copies of any size are one row from here on.
 3. Bands of registers are hashed; classes that share a band are candidates. Each is
    paired with the least class of the band, estimated, checked on full sets, and linked;
-   those of other components then with a few members drawn by hash. Only pairs that lie in
-   a band but still in different components are left, and of these only such whose sets
-   can share enough beside the shingles that nothing else has. They go through the same
-   estimate and check, so no link between different texts is lost, and a group of near
-   copies is not paired with itself.
+   those of other components then with a few members drawn by hash. What is left are bands
+   that still hold different components. Of their members only such pairs are made that
+   have a common shingle early enough in order of use (sets that can't share enough have
+   none), and these go through the same estimate and check. So no link between different
+   texts is lost, and a group of near copies is not paired with itself.
 4. The estimate corrects for registers that agree by chance, and lets through all that
    lies within five standard errors of the threshold. The check joins full sets.
 """
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import TwoGenerations, discard, materialize
@@ -222,11 +222,24 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
     return chosen.mapInArrow(run, "class_id long, shingles array<long>")
 
 
-def _own_shingles(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
-    """``class_id, n, own``: how many of the ``n`` shingles of each class no other class in ``ids`` has."""
-    sets = _sets(docs, ids, shingle_words).select("class_id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    alone = sets.groupBy("shingle").agg(F.count("*").alias("uses"), F.min(F.struct("class_id", "n")).alias("c")).where(F.col("uses") == 1)
-    return alone.groupBy("c.class_id", "c.n").agg(F.count("*").cast("int").alias("own"))
+def _able_pairs(docs: DataFrame, members: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """Pairs ``a > b`` of ``members(class_id, n, component)`` in different components that may be linked.
+
+    In order of use among all members, two sets that share enough have a common shingle so
+    early in both that enough is left after it. Shingles of one member alone come first and
+    are never common, so a set that has many of its own meets nothing.
+    """
+    sets = _sets(docs, members.select("class_id").distinct(), shingle_words).select("class_id", F.explode("shingles").alias("shingle"))
+    uses = sets.groupBy("shingle").agg(F.count("*").alias("uses")).where(F.col("uses") > 1)
+    family = Window.partitionBy("class_id")
+    at = F.row_number().over(family.orderBy("uses", "shingle")) + F.col("n") - F.count("*").over(family)
+    placed = sets.join(uses, "shingle").join(members, "class_id").withColumn("at", at)
+    early = placed.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select("shingle", "class_id", "n", "component", "at")
+    side = lambda x: early.select("shingle", F.col("class_id").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("at").alias(f"at{x}"))
+    left_over = 1 + F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
+    # Shared s of a union na + nb - s: s * (100 + percent) >= percent * (na + nb).
+    able = (left_over * (100 + percent) >= percent * (F.col("na") + F.col("nb"))) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    return side("a").join(side("b"), "shingle").where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & able).select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
@@ -334,16 +347,9 @@ def near_duplicates(
     found = joined_by(some.select(F.greatest("class_id", "d.class_id").alias("a"), F.least("class_id", "d.class_id").alias("b")).distinct(), found)
     discard(left)
 
-    # Last, all pairs of a band that are still in different components, without those of the first round.
-    # What two sets share is no more than either has beside the shingles that only it has.
+    # Last, the pairs of members still in different components that can be linked at all.
     left = open_bands(found)
-    own = _own_shingles(named, left.select("class_id").distinct(), shingle_words)
-    counted = left.join(own, ["class_id", "n"], "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
-    one = counted.where(F.col("class_id") != F.col("hub")).select("band", F.col("class_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("most").alias("mb"))
-    two = counted.select("band", F.col("class_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("most").alias("ma"))
-    most = F.least("ma", "mb")
-    possible = 100 * most >= percent * (F.col("na") + F.col("nb") - most)
-    across = one.join(two, "band").where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & possible).select("a", "b").distinct()
+    across = _able_pairs(named, left.select("class_id", "n", "component").distinct(), shingle_words, percent)
     found = joined_by(across, found)
     discard(shared, left, stars)
 
