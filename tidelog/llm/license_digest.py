@@ -110,9 +110,12 @@ def _spaced(words: str) -> str:
 
 
 def digest(text: Column) -> Column:
-    """Digest of the canonical form; null where nothing is left of the text."""
-    form = canonical(text)
-    return F.when(F.length(form) > 0, F.sha2(form.cast("binary"), 256))
+    """Digest of the canonical form; null where nothing is left of the text.
+
+    The form is bound to a lambda's variable, so that it is made once a text.
+    """
+    hashed = F.transform(F.array(canonical(text)), lambda form: F.when(F.length(form) > 0, F.sha2(form.cast("binary"), 256)))
+    return F.element_at(hashed, 1)
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
