@@ -52,7 +52,7 @@ def unescape(text: str) -> str:
 
 
 def format_turn(role: str, text: str) -> tuple[str, str, str]:
-    """Head, body and foot of a turn. A line feed in a role is written as a doubled vertical tab pair."""
+    """Head, body and foot of a turn. A line feed in a role is written as a vertical tab and 0, a vertical tab as one and 1."""
     return f"<s>{_role(role)}\n", escape(text), "</s>"
 
 
