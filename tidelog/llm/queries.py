@@ -244,9 +244,11 @@ SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS
 
 
 def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .fertility import score
+    """Every document, in bands set from the documents that ``labels`` call clean."""
+    from .fertility import clean_bands, score
 
-    return score(_documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+    docs, path = _documents(spark, sf_dir), vocabulary("piece_bpe_32k.model")
+    return score(docs, path, language_bands=clean_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), path))
 
 
 def op9_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
