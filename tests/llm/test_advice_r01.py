@@ -25,3 +25,19 @@ def test_random_ideographs_are_rejected(spark):
     rows = spark.createDataFrame([(1, noise, "zh"), (2, prose, "zh")], "doc_id long, text string, lang string")
     got = {r.doc_id: (r.base_failed, r.kept) for r in score(rows, public_tokenizers.path("piece_bpe_32k.model")).collect()}
     assert got == {1: (False, False), 2: (False, True)}
+
+
+def test_short_near_duplicates_are_all_found(spark):
+    from tests.llm.test_documents import _components
+    from tidelog.llm.hyperminhash import near_duplicates
+
+    rows = []
+    for k in range(400):  # 9 shared of a union of 10
+        words = [f"p{k}x{i}" for i in range(9)]
+        rows += [(2 * k, " ".join([*words, "first"]), "", ""), (2 * k + 1, " ".join(words), "", "")]
+        if k % 2:  # 8 shared of a union of 10
+            rows[-2:] = [(2 * k, " ".join([*words[:8], f"q{k}"]), "", ""), (2 * k + 1, " ".join([*words[:8], f"r{k}"]), "", "")]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = sorted(map(tuple, near_duplicates(df, shingle_words=1).collect()), key=repr)
+    assert got == _components(rows, 1)
+    assert sum(r[3] for r in got) == 400
