@@ -41,3 +41,15 @@ def test_short_near_duplicates_are_all_found(spark):
     got = sorted(map(tuple, near_duplicates(df, shingle_words=1).collect()), key=repr)
     assert got == _components(rows, 1)
     assert sum(r[3] for r in got) == 400
+
+
+def test_whole_licences_and_every_known_line(spark):
+    from tidelog.llm.license_digest import KNOWN, known_digests, scan
+
+    text = lambda name: open(f"/usr/share/common-licenses/{name}").read()
+    rows = [(1, text("Apache-2.0")), (2, "Copyright (c) me\n\n" + text("BSD")), (3, text("GPL-3").upper()), (4, text("MPL-2.0")), (5, text("LGPL-2.1"))]
+    rows += [(6, "x\n  - Available under CC-BY-SA 4.0 -\ny"), (7, "x\nReleased under" + " " * 500 + "the MIT License\ny")]
+    known = known_digests(spark, (*KNOWN, ("CC-BY-SA-4.0", "Available under CC-BY-SA 4.0")))
+    got = {r.doc_id: (r.license_id, r.notices) for r in scan(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()}
+    assert [got[i][0] for i in range(1, 8)] == ["Apache-2.0", "BSD-3-Clause", "GPL-3.0", "MPL-2.0", "LGPL-2.1", None, None]
+    assert (got[6][1], got[7][1]) == (["CC-BY-SA-4.0"], ["MIT"])

@@ -1,7 +1,8 @@
 """Licence scans by canonical digest: equal after canonicalisation means equal licence.
 
 A text is canonicalised (case, copyright lines, equivalent spellings, punctuation, white
-space) and the digest of what is left is looked up among the digests of known licences.
+space) and the digest of what is left is looked up among the digests of known licences
+(:data:`KNOWN` here, and whole texts by digest in ``license_texts``).
 The whole text is one unit, and so is each of its lines, for one-line notices. DataFrame
 functions only; the known table has a checked size.
 """
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .license_texts import DIGESTS
+
 #: Spellings that licence matching takes as equal, after lower-casing.
 EQUIVALENT = (
     ("acknowledgement", "acknowledgment"),
@@ -88,7 +91,7 @@ BROADCAST_ROWS = 50_000
 #: A copyright line, and what stands between words.
 NOTICE = r"(?:^|\n)[ \t*#/;-]*(?:copyright|\(c\)|\x{00A9}|all rights reserved)[^\n]*"
 PUNCTUATION = r"[\x{0000}-\x{002F}\x{003A}-\x{0040}\x{005B}-\x{0060}\x{007B}-\x{00BF}\x{2000}-\x{206F}]+"
-#: A line can be a one-line notice only if it has one of these.
+#: The lines that the query's SQL looks at; ``scan`` derives its own from the known table.
 NOTICE_LINE = "licen[cs]e|copyright|public domain|cc by|cc0"
 
 
@@ -118,30 +121,49 @@ def digest(text: Column) -> Column:
     return F.element_at(hashed, 1)
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """``digest, license_id`` of known texts; equal texts of two licences go to the lesser name."""
+def _marker(form: Column) -> Column:
+    """The longest word of a canonical form that every spelling of it has as it stands."""
+    made = {w for _, new in EQUIVALENT for w in new.split(" ")} | {"and"}
+    words = F.filter(F.split(form, " "), lambda w: ~w.isin(*made))
+    return F.element_at(F.array_sort(F.transform(words, lambda w: F.struct(-F.length(w), w.alias("word")))), 1)["word"]
+
+
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN, texts: tuple[tuple[str, str, str], ...] = DIGESTS) -> DataFrame:
+    """``digest, license_id, marker`` of known texts; equal texts of two licences go to the lesser name.
+
+    ``texts``: further ones by ``license_id, digest, marker``. ``marker`` is a word that all
+    spellings of the text have; null if there is none.
+    """
     table = spark.createDataFrame([(a, b) for a, b in known], "license_id string, text string")
-    return table.select(digest(F.col("text")).alias("digest"), "license_id").where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("license_id").alias("license_id"))
+    rows = table.select(digest(F.col("text")).alias("digest"), "license_id", _marker(canonical(F.col("text"))).alias("marker")).where(F.col("digest").isNotNull())
+    more = spark.createDataFrame(list(texts), "license_id string, digest string, marker string").select("digest", "license_id", "marker")
+    return rows.unionByName(more).groupBy("digest").agg(F.min("license_id").alias("license_id"), F.min("marker").alias("marker"))
 
 
-def scan(docs: DataFrame, known: DataFrame, *, longest_line: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, known: DataFrame, *, longest_line: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, digest, license_id, n_notices, notices``.
 
     ``license_id``: the licence whose whole text this is. ``notices``: sorted licence names
-    of the lines that are a known one-line notice; ``n_notices`` counts such lines. A line
-    of over ``longest_line`` characters is no one-line notice. Null, empty and punctuation-
-    only texts have a null digest. Null ids and repeated rows are kept as rows. An empty
-    known table matches nothing. Other columns aren't read.
+    of the lines that are a known text; ``n_notices`` counts such lines. Only lines with a
+    ``marker`` of ``known`` can be one, so the others aren't looked up; all are if a marker
+    is missing or the table is too large for all tasks. Lines have any length unless
+    ``longest_line`` is given. Null, empty and punctuation-only texts have a null digest.
+    Null ids and repeated rows are kept as rows. An empty known table matches nothing.
+    Other columns aren't read.
     """
+    small = known.count() <= BROADCAST_ROWS
+    markers = [r.marker for r in known.select("marker").distinct().collect()] if small and "marker" in known.columns else [None]
+    can_match = lambda x: F.lit(True) if None in markers else F.lower(x).rlike("|".join(sorted(markers))) if markers else F.lit(False)
+    short = lambda x: F.lit(True) if longest_line is None else F.length(x) <= longest_line
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    lines = F.filter(F.split("text", "\n"), lambda x: (F.length(x) <= longest_line) & F.lower(x).rlike(NOTICE_LINE))
+    lines = F.filter(F.split("text", "\n"), lambda x: short(x) & can_match(x))
     unit = lambda whole, x: F.struct(F.lit(whole).alias("whole"), digest(x).alias("digest"))
     units = rows.select("row_id", "doc_id", F.explode(F.concat(F.array(unit(True, F.col("text"))), F.transform(lines, lambda x: unit(False, x)))).alias("unit"))
     # Units without a digest get a key of their own, so that they don't meet in one task.
     units = units.select("row_id", "doc_id", "unit.*", F.coalesce("unit.digest", F.col("row_id").cast("string")).alias("key"))
     names = known.select(F.col("digest").alias("key"), "license_id")
-    if known.count() <= BROADCAST_ROWS:
+    if small:
         names = F.broadcast(names)
     notice = F.when(~F.col("whole"), F.col("license_id"))
     return (
