@@ -53,3 +53,15 @@ def test_whole_licences_and_every_known_line(spark):
     got = {r.doc_id: (r.license_id, r.notices) for r in scan(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()}
     assert [got[i][0] for i in range(1, 8)] == ["Apache-2.0", "BSD-3-Clause", "GPL-3.0", "MPL-2.0", "LGPL-2.1", None, None]
     assert (got[6][1], got[7][1]) == (["CC-BY-SA-4.0"], ["MIT"])
+
+
+def test_pipeline_keeps_clean_rows_without_an_id(spark):
+    import corpus_pipeline
+
+    prose = [" ".join(f"{k}{i}" for i in range(80)) for k in "abcd"]
+    rows = [(None, prose[0]), (None, prose[0]), (None, prose[0] + " more"), (None, prose[1]), (7, prose[1]), (8, prose[2]), (8, prose[3]), (8, prose[3]), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.minhash_near_dedup(spark, docs, "").collect()), key=repr)
+    assert [x for x in got if x[0] is not None] == [(7, prose[1]), (8, prose[2])]
+    texts = [t for i, t in got if i is None]
+    assert len(texts) == 2 and None in texts and (prose[0] in texts or prose[0] + " more" in texts)
