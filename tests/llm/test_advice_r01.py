@@ -65,3 +65,14 @@ def test_pipeline_keeps_clean_rows_without_an_id(spark):
     assert [x for x in got if x[0] is not None] == [(7, prose[1]), (8, prose[2])]
     texts = [t for i, t in got if i is None]
     assert len(texts) == 2 and None in texts and (prose[0] in texts or prose[0] + " more" in texts)
+
+
+def test_all_shared_keys_of_a_recording_are_probed(spark):
+    from tidelog.llm.audio_chroma import align
+
+    rng = random.Random(6)
+    codes = [rng.randrange(1 << 32) for _ in range(100)]
+    noisy = [c ^ (1 << (12 + i % 20)) if i % 5 else c for i, c in enumerate(codes)]  # 80 keys of its own
+    rows = [(100, "a", noisy), (1, "b", codes), (2, "c", codes[10:]), (3, "d", [rng.randrange(1 << 32) for _ in range(100)])]
+    got = {r.rec_id: (r.n_links, r.best_query, r.best_offset) for r in align(spark.createDataFrame(rows, "rec_id long, digest string, codes array<long>")).collect()}
+    assert got == {100: (0, None, None), 1: (1, 100, 0), 2: (1, 100, 10), 3: (0, None, None)}

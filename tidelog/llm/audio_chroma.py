@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -121,7 +121,7 @@ def fingerprints(recordings: DataFrame, *, id_col: str = "rec_id", audio_col: st
     return recordings.select(F.col(id_col).cast("long").alias("rec_id"), F.col(audio_col).cast("binary").alias("audio")).mapInArrow(run, FINGERPRINTS)
 
 
-def align(prints: DataFrame, *, query_step: int = 100, key_bits: int = 20, probes: int = 24, max_errors: float = 0.10, min_overlap: float = 0.5) -> DataFrame:
+def align(prints: DataFrame, *, query_step: int = 100, key_bits: int = 20, max_errors: float = 0.10, min_overlap: float = 0.5) -> DataFrame:
     """Align recordings with the queries, those whose id ``query_step`` divides.
 
     One row per recording: ``rec_id, n_codes, digest, class_id, n_links, best_query,
@@ -131,8 +131,8 @@ def align(prints: DataFrame, *, query_step: int = 100, key_bits: int = 20, probe
     least ``min_overlap`` of the shorter. ``best_query``: the class of those with the least
     share (ties: the least id), ``best_offset`` frames later in it.
 
-    A query probes with its ``probes`` rarest codes, so that codes found everywhere
-    (silence) bring no candidates unless it has no others. The index holds every class.
+    A query probes with all its keys (leading bits of codes) that another class has too.
+    The index holds every class.
     Recordings without codes have a null class and no links. Null ids take part but are no
     queries; a class of them alone has a null ``class_id`` and isn't indexed. Repeated rows
     are in one class. An empty table gives no rows.
@@ -146,10 +146,7 @@ def align(prints: DataFrame, *, query_step: int = 100, key_bits: int = 20, probe
     key = F.shiftright(F.col("code"), 32 - key_bits)
     postings = indexed.select("class_id", F.posexplode("codes").alias("at", "code")).select("class_id", "at", key.alias("key"))
     queries = indexed.where("is_query = 1").select(F.col("class_id").alias("query"), F.posexplode("codes").alias("query_at", "code")).select("query", "query_at", key.alias("key"))
-    spread = postings.groupBy("key").agg(F.count("*").alias("n"))
-    rarest = Window.partitionBy("query").orderBy("n", "key", "query_at")
-    chosen = queries.join(spread, "key").withColumn("rank", F.row_number().over(rarest)).where(F.col("rank") <= probes).select("query", "query_at", "key")
-    hits = chosen.join(postings, "key").where(F.col("query") != F.col("class_id"))
+    hits = queries.join(postings, "key").where(F.col("query") != F.col("class_id"))
     histogram = hits.groupBy("query", "class_id", (F.col("query_at") - F.col("at")).alias("offset")).agg(F.count("*").alias("n"))
     peak = histogram.groupBy("query", "class_id").agg(F.max_by("offset", F.struct("n", -F.abs("offset"), "offset")).alias("offset"))
     a = indexed.select(F.col("class_id").alias("query"), F.col("codes").alias("q"))
