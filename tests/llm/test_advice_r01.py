@@ -76,3 +76,11 @@ def test_all_shared_keys_of_a_recording_are_probed(spark):
     rows = [(100, "a", noisy), (1, "b", codes), (2, "c", codes[10:]), (3, "d", [rng.randrange(1 << 32) for _ in range(100)])]
     got = {r.rec_id: (r.n_links, r.best_query, r.best_offset) for r in align(spark.createDataFrame(rows, "rec_id long, digest string, codes array<long>")).collect()}
     assert got == {100: (0, None, None), 1: (1, 100, 0), 2: (1, 100, 10), 3: (0, None, None)}
+
+
+def test_weight_of_zero_at_an_inner_level(spark):
+    from tidelog.llm.mixing import leaf_budgets
+
+    leaves = spark.createDataFrame([("a", "x", "p", 100), ("a", "y", "q", 10), ("b", "z", "r", 200), ("c", "u", "s", 50), ("c", "u", "t", 5)], "d string, l string, s string, tokens long")
+    got = {r.s: r.given for r in leaf_budgets(leaves, ["d", "l", "s"], 150, {"l": {"x": 0}, "s": {"s": 0}}, 1).collect()}
+    assert got == {"p": 0, "q": 10, "r": 135, "s": 0, "t": 5}

@@ -4,7 +4,8 @@ The budget of the root goes down a tree (say domain, language, source) by intege
 weights. A node never gets more than its subtree can give (its tokens times the epochs
 allowed). What a child can't take goes to its siblings, in proportion to their weights,
 until they are full as well; only what a whole family can't take leaves it, as the
-family then counts with its capacity among its own siblings.
+family then counts with its capacity among its own siblings. What lies below a weight of 0
+can take nothing, so it counts in no capacity.
 
 The level of water among siblings is found in closed form: in order of capacity per
 weight, a child is full if it fills up before the rest share what remains.
@@ -65,7 +66,10 @@ def _share(nodes: DataFrame, parents: list[str], level: str) -> DataFrame:
 
 def leaf_budgets(leaves: DataFrame, levels: Sequence[str], budget: int, weights: Mapping[str, Mapping[str, int]], max_epochs: int) -> DataFrame:
     """``*levels, tokens, given`` of each leaf; ``leaves`` has the levels and ``tokens``."""
-    known = leaves.withColumn("capacity", (F.col("tokens") * max_epochs).cast("long"))
+    served = F.lit(True)
+    for level in levels:
+        served &= _weight(level, weights.get(level, {})) > 0
+    known = leaves.withColumn("capacity", F.when(served, F.col("tokens") * max_epochs).otherwise(0).cast("long"))
     given: DataFrame | None = None
     for i, level in enumerate(levels):
         parents, here = list(levels[:i]), list(levels[: i + 1])
