@@ -72,13 +72,23 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def range_buckets(df: DataFrame, keys: list[Column], tag: str, name: str = "bucket") -> DataFrame:
+#: Bytes that a task of a range should read at most, long rows aside.
+RANGE_BYTES = 64 << 20
+
+
+def ranges_of(df: DataFrame, row_bytes: Column) -> int:
+    """Number of ranges for ``df``: the session's shuffle partitions, more if these would hold over :data:`RANGE_BYTES` each."""
+    size = df.agg(F.sum(row_bytes.cast("long")).alias("size")).first()["size"] or 0
+    return max(partitions(df.sparkSession), -(-size // RANGE_BYTES))
+
+
+def range_buckets(df: DataFrame, keys: list[Column], tag: str, name: str = "bucket", ranges: int | None = None) -> DataFrame:
     """Deal ``df`` into ranges of ``keys`` and write it with the number of its range.
 
     All rows of range b come before those of range b + 1. Ranges hold similar numbers
     of rows; only rows equal in all keys must share one.
     """
-    n = partitions(df.sparkSession)
+    n = ranges or partitions(df.sparkSession)
     ranged = df.repartitionByRange(n, *keys).withColumn(name, F.spark_partition_id())
     return materialize(ranged, tag)
 

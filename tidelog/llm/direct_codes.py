@@ -20,23 +20,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import ranges_of
 from .encoders import encoder
 
 MAGIC = b"DAC1"
 WIDTHS = (8, 4, 4, 16)
 BLOCK = 512
-SHARDS = "bucket int, shard int, n_docs long, n_ids long, doc_ids array<long>, payload binary"
+SHARDS = "bucket int, shard int, first_id long, n_docs long, n_ids long, doc_ids array<long>, payload binary"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def _pack_bits(values: np.ndarray, width: int) -> bytes:
     if width in (8, 16, 32):
         return values.astype(f"<u{width // 8}").tobytes()
+    if width == 4:
+        two = np.zeros(len(values) + len(values) % 2, "u1")
+        two[: len(values)] = values
+        return (two[::2] | two[1::2] << np.uint8(4)).tobytes()
     bits = (values[:, None] >> np.arange(width, dtype="u4")) & 1
     return np.packbits(bits.astype("u1").ravel(), bitorder="little").tobytes()
 
@@ -75,7 +78,8 @@ class Shard:
         for _ in self.widths:
             n, chunks, bitmap, ranks = struct.unpack_from("<QQQQ", data, at)
             at += 32
-            self.levels.append((n, np.frombuffer(data, "u1", chunks, at), np.frombuffer(data, "u1", bitmap, at + chunks), np.frombuffer(data, "<u8", ranks // 8, at + chunks + bitmap)))
+            raw, bits = self.data[at : at + chunks], self.data[at + chunks : at + chunks + bitmap]
+            self.levels.append((n, raw, bits, np.frombuffer(data, "<u8", ranks // 8, at + chunks + bitmap)))
             at += chunks + bitmap + ranks
 
     def _values(self, k: int, lo: int, hi: int) -> np.ndarray:
@@ -83,19 +87,25 @@ class Shard:
         width, raw = self.widths[k], self.levels[k][1]
         if width in (8, 16, 32):
             step = width // 8
-            return np.frombuffer(raw[lo * step : hi * step].tobytes(), f"<u{step}").astype("u4")
+            return np.frombuffer(raw, f"<u{step}", hi - lo, lo * step).astype("u4")
         first, last = lo * width // 8, -(-hi * width // 8)
-        bits = np.unpackbits(raw[first:last], bitorder="little")
+        packed = np.frombuffer(raw, "u1", last - first, first)
+        if width == 4:
+            two = np.empty(2 * len(packed), "u4")
+            two[::2], two[1::2] = packed & 15, packed >> 4
+            return two[lo % 2 : lo % 2 + hi - lo]
+        bits = np.unpackbits(packed, bitorder="little")
         skip = lo * width - 8 * first
         bits = bits[skip : skip + (hi - lo) * width].reshape(hi - lo, width).astype("u4")
         return (bits << np.arange(width, dtype="u4")).sum(axis=1, dtype="u4")
 
     def _rank(self, k: int, i: int) -> int:
-        """Continuing ids before number i of level k."""
+        """Continuing ids before number i of level k: a directory entry and a count in its block."""
         _, _, bitmap, ranks = self.levels[k]
-        block = i // BLOCK
-        bits = np.unpackbits(bitmap[block * BLOCK // 8 : -(-i // 8)], bitorder="little")
-        return int(ranks[block]) + int(bits[: i - block * BLOCK].sum())
+        block, rest = divmod(i, BLOCK)
+        first = block * BLOCK // 8
+        bits = int.from_bytes(bitmap[first : first + (rest + 7) // 8], "little") & ((1 << rest) - 1)
+        return int(ranks[block]) + bits.bit_count()
 
     def access(self, i: int) -> int:
         """Id number i: at most one step on each level."""
@@ -114,14 +124,15 @@ class Shard:
         if hi <= lo:
             return np.empty(0, "u4")
         out = self._values(0, lo, hi)
-        where, shift = np.arange(hi - lo), 0
+        where, shift = None, 0
         for k, width in enumerate(self.widths[:-1]):
-            bits = np.unpackbits(self.levels[k][2][lo // 8 : -(-hi // 8)], bitorder="little")[lo % 8 : lo % 8 + hi - lo].astype(bool)
-            if not bits.any():
+            bytes_of = np.frombuffer(self.levels[k][2], "u1", -(-hi // 8) - lo // 8, lo // 8)
+            more = np.flatnonzero(np.unpackbits(bytes_of, bitorder="little")[lo % 8 : lo % 8 + hi - lo])
+            if not len(more):
                 break
-            where, shift = where[bits], shift + width
+            where, shift = more if where is None else where[more], shift + width
             lo = self._rank(k, lo)
-            hi = lo + len(where)
+            hi = lo + len(more)
             out[where] |= self._values(k + 1, lo, hi) << np.uint32(shift)
         return out
 
@@ -136,23 +147,23 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, *, end_id: int, shard
     Texts are dealt into ranges of ids before they are encoded, so ids never move. Null
     and empty texts give the end id alone; null ids come first; repeated ids are ordered
     by text. A shard ends at the first document at which it has ``shard_ids`` ids, so
-    memory is bounded by that and the longest text. An empty table writes no shard.
+    memory is bounded by that and the longest text. The number of ranges follows from the
+    bytes of all texts. An empty table writes no shard.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    spark = docs.sparkSession
-    ranged = rows.repartitionByRange(partitions(spark), "doc_id", "tie").withColumn("bucket", F.spark_partition_id()).sortWithinPartitions("doc_id", "tie")
+    ranged = rows.repartitionByRange(ranges_of(rows, F.octet_length("text")), "doc_id", "tie").withColumn("bucket", F.spark_partition_id()).sortWithinPartitions("doc_id", "tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(vocabulary), array("I", [end_id]).tobytes()
-        names, parts, sizes, total, shard, bucket = [], [], [0], 0, 0, 0
+        names, parts, sizes, total, shard, bucket, written = [], [], [0], 0, 0, 0, 0
 
         def flush() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(parts), "<u4")
             blob = encode_shard(ids, np.array(sizes, "u8"), widths)
             return pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(names)], pa.int64()), pa.array([total], pa.int64()), pa.array([names], pa.list_(pa.int64())), pa.array([blob], pa.binary())],
-                ["bucket", "shard", "n_docs", "n_ids", "doc_ids", "payload"],
+                [pa.array([bucket], pa.int32()), pa.array([shard], pa.int32()), pa.array([written], pa.int64()), pa.array([len(names)], pa.int64()), pa.array([total], pa.int64()), pa.array([names], pa.list_(pa.int64())), pa.array([blob], pa.binary())],
+                ["bucket", "shard", "first_id", "n_docs", "n_ids", "doc_ids", "payload"],
             )
 
         for batch in batches:
@@ -164,38 +175,40 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, *, end_id: int, shard
                 sizes.append(total)
                 if total >= shard_ids:
                     yield flush()
-                    names, parts, sizes, total, shard = [], [], [0], 0, shard + 1
+                    names, parts, sizes, total, shard, written = [], [], [0], 0, shard + 1, written + total
         if names:
             yield flush()
 
     ranged.select("doc_id", "text", "bucket").mapInArrow(run, SHARDS).write.parquet(path)
 
 
-def shard_starts(spark: SparkSession, path: str) -> DataFrame:
-    """Ids before each shard. One row per range is summed up in one task, never one per document."""
-    shards = spark.read.schema(SHARDS).parquet(path).select("bucket", "shard", "n_ids")
-    by_range = shards.groupBy("bucket").agg(F.sum("n_ids").alias("n"))
+#: A table of ranges of at most this many rows (16 bytes each) goes to all tasks; a longer one is joined by shuffle.
+BROADCAST_RANGES = 500_000
+
+
+def range_starts(spark: SparkSession, path: str) -> DataFrame:
+    """``bucket, base``: ids before each range. One row a range is summed up in one task, never one per document."""
+    by_range = spark.read.schema(SHARDS).parquet(path).groupBy("bucket").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = by_range.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    inner = shards.select("bucket", "shard", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("inner"))
-    return inner.join(base, "bucket").select("bucket", "shard", (F.col("base") + F.col("inner")).alias("shard_start"))
+    return by_range.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Read the files back, document by document (:data:`DOCUMENTS`)."""
-    shards = spark.read.schema(SHARDS).parquet(path).select("bucket", "shard", "doc_ids", "payload")
-    starts = shard_starts(spark, path)
+    """Read the files back (:data:`DOCUMENTS`), each document by its own place through the rank directories."""
+    shards = spark.read.schema(SHARDS).parquet(path).select("bucket", "first_id", "doc_ids", "payload")
+    starts = range_starts(spark, path)
+    if starts.count() <= BROADCAST_RANGES:
+        starts = F.broadcast(starts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for names, payload, start in zip(*(batch.column(c) for c in ("doc_ids", "payload", "shard_start"))):
-                shard, base = Shard(payload.as_py()), start.as_py()
-                ids, ends = memoryview(shard.slice(0, shard.n_ids).astype("<u4").tobytes()), (4 * shard.offsets).tolist()
-                crc = [zlib.crc32(ids[a:b]) for a, b in zip(ends, ends[1:])]
+            for bucket, first, names, payload in zip(*batch.columns):
+                shard, n = Shard(payload.as_py()), len(names)
+                crc = [zlib.crc32(shard.document(d).tobytes()) for d in range(n)]
                 yield pa.RecordBatch.from_arrays(
-                    [names.values if names.values is not None else pa.array([], pa.int64()), pa.array(shard.offsets[:-1].astype("i8") + base), pa.array(np.diff(shard.offsets.astype("i8"))), pa.array(crc, pa.int64())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"],
+                    [pa.array([bucket.as_py()] * n, pa.int32()), names.values, pa.array(shard.offsets[:-1].astype("i8") + first.as_py()), pa.array(np.diff(shard.offsets.astype("i8"))), pa.array(crc, pa.int64())],
+                    ["bucket", "doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return shards.join(starts, ["bucket", "shard"]).select("doc_ids", "payload", "shard_start").mapInArrow(run, DOCUMENTS)
+    found = shards.mapInArrow(run, f"bucket int, {DOCUMENTS}").join(starts, "bucket")
+    return found.select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
