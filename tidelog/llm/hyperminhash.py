@@ -6,15 +6,18 @@
    mantissa bits after them (16 bits in all).
 2. Equal sets (equal digests) become one class, summed up before the shuffle, so groups
    of copies of any size are one row from here on.
-3. Bands of registers are hashed; classes that share a band are candidates. Each is
-   paired with the least class of the band, estimated, checked on full sets, and linked;
-   those of other components then with a few members drawn by hash. What is left are bands
-   that still hold different components. Of their members only such pairs are made that
-   have a common shingle early enough in order of use (sets that can't share enough have
-   none), and these go through the same estimate and check, so a group of near copies is
-   not paired with itself. The bands of a short set are copies of few draws and may all
-   miss: every set of fewer shingles than there are buckets, with all others of a size
-   that can be linked to one, takes part in this last step whether it shares a band or not.
+3. Bands of registers are hashed; classes that share a band are candidates. They are
+   tried in rounds, and what a round links is one component in the next. First each class
+   meets one other: of the least classes of its bands that with which it shares most
+   bands. Then every two components that meet in a band try the pair, of members drawn by
+   hash, that shares most bands. What is left are bands that still hold different
+   components. Of their members only such pairs are made that have a common shingle early
+   enough in order of use (sets that can't share enough have none). Of these the pair with
+   most such shingles is tried for every two components, and then all that still lie in
+   different ones. So a group of near copies is not paired with itself. The bands of a
+   short set are copies of few draws and may all miss: every set of fewer shingles than
+   there are buckets, with all others of a size that can be linked to one, takes part in
+   this last step whether it shares a band or not.
 4. The estimate corrects for registers that agree by chance, and lets through all that
    lies within five standard errors of the threshold. The check joins full sets.
 """
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, discard, materialize
+from .common import discard, materialize
 from .components import components
 
 MANTISSA = 10
@@ -54,7 +57,6 @@ class Shingler:
 
     def __init__(self, width: int):
         self.width = width
-        self.words = TwoGenerations(xxhash.xxh3_64_intdigest, most=150_000)
 
     def shingles(self, text: str) -> np.ndarray:
         """Distinct shingles of ``width`` words; of fewer words, all as one; of none, nothing.
@@ -65,8 +67,7 @@ class Shingler:
         words = text.encode("utf-8", "replace").lower().split()
         if not words:
             return np.empty(0, "u8")
-        cache = self.words
-        h = np.fromiter((cache[w] for w in words), "u8", len(words))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), "u8", len(words))
         width = min(self.width, len(words))
         n = len(words) - width + 1
         acc = np.full(n, np.uint64(width))
@@ -225,12 +226,13 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
 
 
 def _able_pairs(docs: DataFrame, members: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """Pairs ``a > b`` of ``members(class_id, n, component)`` in different components that may be linked.
+    """Pairs ``a > b`` of ``members(class_id, n, component)`` in different components ``ca, cb`` that may be linked.
 
     In order of use among all members, two sets that share enough have a common shingle so
-    early in both that enough is left after it. Shingles of one member alone come first and
-    are never common, so a set that has many of its own meets nothing. Of the members that come
-    early with a shingle, those of the component met most there meet the others only.
+    early in both that enough is left after it; ``k`` counts these. Shingles of one member
+    alone come first and are never common, so a set that has many of its own meets nothing.
+    Of the members that come early with a shingle, those of the component met most there
+    meet the others only.
     """
     sets = _sets(docs, members.select("class_id").distinct(), shingle_words).select("class_id", F.explode("shingles").alias("shingle"))
     uses = sets.groupBy("shingle").agg(F.count("*").alias("uses")).where(F.col("uses") > 1)
@@ -246,21 +248,26 @@ def _able_pairs(docs: DataFrame, members: DataFrame, shingle_words: int, percent
     left_over = 1 + F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
     # Shared s of a union na + nb - s: s * (100 + percent) >= percent * (na + nb).
     able = (left_over * (100 + percent) >= percent * (F.col("na") + F.col("nb"))) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    # Of two components one at least isn't the one met most; of two such both orders come up.
-    pairs = side("a").where(F.col("ca") != F.col("most")).join(side("b").drop("most"), "shingle").where((F.col("ca") != F.col("cb")) & able)
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # Of two components one at least isn't the one met most; of two such one order is enough.
+    once = (F.col("cb") == F.col("most")) | (F.col("a") > F.col("b"))
+    pairs = side("a").where(F.col("ca") != F.col("most")).join(side("b").drop("most"), "shingle").where((F.col("ca") != F.col("cb")) & once & able)
+    swap = F.col("a") < F.col("b")
+    of = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x)
+    return pairs.select(of("a", "b"), of("b", "a"), of("ca", "cb"), of("cb", "ca")).groupBy("a", "b", "ca", "cb").agg(F.count("*").alias("k"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     """Pairs whose full sets share at least ``percent`` per cent of their union."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-    sets = _sets(docs, ids, shingle_words)
+    sets = materialize(_sets(docs, materialize(ids, "ids"), shingle_words), "sets")
     left = sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("of_b"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("of_a", "of_b")).cast("long")
     union = F.size("of_a").cast("long") + F.size("of_b") - shared
-    return both.where(100 * shared >= percent * union).select("a", "b").distinct()
+    out = materialize(both.where(100 * shared >= percent * union).select("a", "b").distinct(), "links")
+    discard(sets)
+    return out
 
 
 def _lifted(found: DataFrame, more: DataFrame) -> DataFrame:
@@ -333,9 +340,11 @@ def near_duplicates(
     first = bands.groupBy("band").agg(least.alias("hub"), F.count("*").alias("members")).where(F.col("members") > 1)
     shared = materialize(bands.join(first.select("band", F.col("hub.class_id").alias("hub"), F.col("hub.n").alias("hub_n")), "band"), "bands")
     near = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent  # noqa: E731  sizes that allow a link
-    stars = shared.where((F.col("class_id") != F.col("hub")) & near("n", "hub_n")).select(F.col("class_id").alias("a"), F.col("hub").alias("b")).distinct()
+    # Each class meets the hub with which it shares most bands.
+    stars = shared.where((F.col("class_id") != F.col("hub")) & near("n", "hub_n")).groupBy(F.col("class_id").alias("a"), F.col("hub").alias("b")).agg(F.count("*").alias("k"))
+    stars = stars.groupBy("a").agg(F.max_by("b", F.struct("k", -F.col("b"))).alias("b"))
     stars = materialize(_likely(stars, classes, threshold, errors), "stars")
-    links = materialize(_verified(stars, named, shingle_words, percent), "links")
+    links = _verified(stars, named, shingle_words, percent)
     found = materialize(components(links, "links1"), "components")
 
     def open_bands(found: DataFrame) -> DataFrame:
@@ -347,18 +356,25 @@ def near_duplicates(
     def joined_by(pairs: DataFrame, found: DataFrame) -> DataFrame:
         """Components after the links among ``pairs``."""
         likely = materialize(_likely(pairs, classes, threshold, errors), "likely")
-        more = materialize(_verified(likely, named, shingle_words, percent), "more")
+        more = _verified(likely, named, shingle_words, percent)
         if not more.isEmpty():
             found = materialize(_lifted(found, more), "components")
         discard(likely, more)
         return found
 
-    # Members that the hub doesn't reach meet a few others of the band, drawn by hash.
+    def first_pairs(pairs: DataFrame) -> DataFrame:
+        """The most promising pair ``a, b`` (the largest ``k``) of every two components ``ca, cb``."""
+        family = pairs.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y"))
+        return family.agg(F.max_by(F.struct("a", "b"), F.struct("k", "a", "b")).alias("p")).select("p.a", "p.b")
+
+    # Components meet in bands that hold several: one pair of every two, of members drawn by hash.
     left = open_bands(found)
     drawn = [F.min(F.struct(F.xxhash64("class_id", F.lit(k)).alias("h"), "class_id", "component", "n")).alias(f"d{k}") for k in range(draws)]
     some = left.groupBy("band").agg(*drawn).select("band", F.explode(F.array_distinct(F.array(*[F.col(f"d{k}").dropFields("h") for k in range(draws)]))).alias("d"))
     some = left.join(some, "band").where((F.col("component") != F.col("d.component")) & near("n", "d.n"))
-    found = joined_by(some.select(F.greatest("class_id", "d.class_id").alias("a"), F.least("class_id", "d.class_id").alias("b")).distinct(), found)
+    some = some.groupBy("class_id", "component", F.col("d.class_id").alias("d"), F.col("d.component").alias("other")).agg(F.count("*").alias("k"))
+    best = first_pairs(some.select(F.greatest("class_id", "d").alias("a"), F.least("class_id", "d").alias("b"), F.col("component").alias("ca"), F.col("other").alias("cb"), "k"))
+    found = joined_by(best, found)
     discard(left)
 
     # Last, the pairs of members still in different components that can be linked at all.
@@ -367,9 +383,15 @@ def near_duplicates(
     brief = classes.where(F.col("n_shingles") * percent < buckets * 100).join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     brief = brief.select("class_id", F.col("n_shingles").cast("int").alias("n"), F.coalesce("component", "class_id").alias("component"))
     members = left.select("class_id", "n", "component").unionByName(brief).distinct()
-    across = _able_pairs(named, materialize(members, "members"), shingle_words, percent)
-    found = joined_by(across, found)
-    discard(shared, left, stars)
+    across = materialize(_able_pairs(named, materialize(members, "members"), shingle_words, percent), "across")
+    # Of two components the most promising pair first, then all pairs of those that it doesn't link.
+    best = materialize(first_pairs(across), "best")
+    found = materialize(joined_by(best, found), "components")
+    now = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"now_{x}"))
+    rest = across.join(best, ["a", "b"], "left_anti").join(now("a"), "a", "left").join(now("b"), "b", "left")
+    rest = rest.where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b")
+    found = joined_by(rest, found)
+    discard(shared, left, stars, links, across, best)
 
     labels = classes.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("digest", F.coalesce("component", "class_id").alias("component"))
     out = full.select("doc_id", "n_shingles", "digest").join(labels, "digest")
