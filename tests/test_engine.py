@@ -7,13 +7,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.config import AppConfig, StateConfig
+from tidelog.config import AppConfig, KafkaConfig, LoggingConfig, StateConfig
 from tidelog.functions.binary import lsn_hex, lsn_text, lsn_value, number_or, operation_label
 from tidelog.functions.frames import frame_bytes
 from tidelog.operators.batching import assign_batches, close_batches
 from tidelog.operators.metrics import table_lag, table_metrics
 from tidelog.operators.parse import parse_chunks, records
-from tidelog.operators.route import group_lists, ordered_by_topic, route
+from tidelog.operators.route import group_lists, ordered_by_key, route
 from tidelog.sources.catalog import create_slot_sql, has_slot, known_slots, single_consumer
 from tidelog.sources.checkpoint import CheckpointStore, checkpoint_json, latest_by_slot, read_checkpoint, resume_after
 from tidelog.sources.replication import register, write_segment
@@ -135,10 +135,13 @@ def test_metrics_and_groups(spark):
         assert (r.insert_count, r.update_count, r.delete_count) == tuple(want[r.table_name].count(x) for x in ("Insert", "Update", "Delete"))
     for r in group_lists(rec).collect():
         assert [(x.seq, x.idx) for x in r.records] == sorted((x.seq, x.idx) for x in r.records) and len(r.records) == len(want[r.table_name])
-    assert table_lag(rec, F.lit(100), F.col("tx_commit_time")).count() == len(want)
-    parts = ordered_by_topic(route(rec)).select("*", F.spark_partition_id().alias("p")).collect()
-    assert all(len({r.p for r in parts if r.topic == t}) == 1 for t in {r.topic for r in parts})
-    assert rec.select(operation_label(F.col("operation")).alias("o")).distinct().count() == 4
+    last = {t: max(r.tx_commit_time for r in rec.collect() if r.table_name == t) for t in want}
+    assert {r.table_name: r.lag_ms for r in table_lag(rec, F.lit(100), F.col("tx_commit_time")).collect()} == {t: 100 - x for t, x in last.items()}
+    parts = ordered_by_key(route(rec)).select("*", F.spark_partition_id().alias("p")).collect()
+    for k in {(r.topic, r.key) for r in parts}:
+        mine = [r for r in parts if (r.topic, r.key) == k]
+        assert len({r.p for r in mine}) == 1 and [(r.seq, r.idx) for r in mine] == sorted((r.seq, r.idx) for r in mine)
+    assert {r.o for r in rec.select(operation_label(F.col("operation")).alias("o")).distinct().collect()} == {"INSERT", "UPDATE", "DELETE", "TRUNCATE"}
     assert resume_after(rec, "0/100").where("lsn <= 100").count() == 0
 
 
@@ -159,7 +162,7 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     sent, bad = [], []
     pipeline = Pipeline(config, memory_sink(sent), quarantine=lambda df, _: bad.extend(df.select("seq").collect()))
     _run(spark, folder, check, pipeline)
-    got = [r for _, rows in sent for r in rows]
+    got = [r[1:] for _, rows in sent for r in rows]
     static = spark.read.format("tidelog_chunks").option("path", str(folder)).load()
     assert static.count() == 40
     want = route(records(parse_chunks(static))).orderBy("seq", "idx").collect()
@@ -200,22 +203,94 @@ def test_failed_sink_keeps_the_position(spark, tmp_path):
         raise RuntimeError("down")
 
     pipeline = Pipeline(config, fail)
+    assert pipeline.totals.values["send_errors"] == 0
     stream = spark.readStream.format("tidelog_chunks").option("path", str(folder)).load()
     with pytest.raises(Exception, match="down"):
         pipeline.start(stream, str(tmp_path / "check"), available_now=True).awaitTermination(60)
-    assert not (state / "wal_position.json").exists() and pipeline.totals.values["batches_sent"] == 0
+    assert not (state / "wal_position.json").exists() and (pipeline.totals.values["batches_sent"], pipeline.totals.values["send_errors"]) == (0, 1)
     out = tmp_path / "out"
     _run(spark, folder, tmp_path / "check", Pipeline(config, parquet_sink(str(out))))
     back = spark.read.parquet(f"{out}/batch_id=0")
     assert back.count() > 0 and {"topic", "key", "value"} <= set(back.columns)
 
 
-def test_kafka_sink_is_optional(spark):
-    messages = spark.createDataFrame([("t", "k", "v", 0, 0)], "topic string, key string, value string, seq long, idx int")
-    try:
-        kafka_sink(AppConfig().kafka)(messages, 0)
-    except Exception as e:
-        assert "kafka" in str(e).lower()
+def test_batches_in_the_stream(spark, tmp_path):
+    """The golden counts 60, 60, 10, 100, 1 in one micro-batch; the last batch is flushed, and the next micro-batch opens another."""
+    register(spark)
+    chunk = lambda n, at: b"".join(frame_bytes("I", at + i, at, 0, "s", f"t{i % 2}") for i in range(n))
+    counts = [60, 60, 10, 100, 1]
+    write_segment(str(tmp_path / "slot"), 0, [chunk(n, 1000 * i) for i, n in enumerate(counts)])
+    sent = []
+    pipeline = Pipeline(AppConfig(), memory_sink(sent))
+    _run(spark, tmp_path / "slot", tmp_path / "check", pipeline)
+    assert [{r.batch for r in sent[0][1] if r.seq == i} for i in range(5)] == [{0}, {0}, {1}, {1}, {2}]
+    assert (pipeline.totals.values["batches_sent"], pipeline.totals.values["messages_sent"]) == (3, 231)
+    write_segment(str(tmp_path / "slot"), 5, [chunk(2, 9000)])
+    _run(spark, tmp_path / "slot", tmp_path / "check", pipeline)
+    assert (pipeline.totals.values["batches_sent"], pipeline.totals.values["messages_sent"]) == (4, 233)
+
+
+def test_batch_size_and_start_from_the_settings(spark, tmp_path):
+    register(spark)
+    write_segment(str(tmp_path / "slot"), 0, [frame_bytes("I", i, i, 0, "s", "t") for i in range(20)])
+    config = AppConfig.from_env({"WAL_WRITER_REPLICATION_BATCH_SIZE": "4", "WAL_WRITER_REPLICATION_WAL_POSITION": "0/9"})
+    sent = []
+    pipeline = Pipeline(config, memory_sink(sent))
+    _run(spark, tmp_path / "slot", tmp_path / "check", pipeline)
+    assert [(r.seq, r.batch) for r in sent[0][1]] == [(i, (i - 10) // 4) for i in range(10, 20)]
+    assert pipeline.totals.values["batches_sent"] == 3
+
+
+def test_logging(tmp_path):
+    import logging
+
+    logger = LoggingConfig(str(tmp_path / "logs"), "warn").start(logging.getLogger("tidelog.test"))
+    logger.info("not this")
+    logger.warning("but this")
+    for handler in logger.handlers:
+        handler.flush()
+    text = (tmp_path / "logs" / "wal-writer.log").read_text()
+    assert "but this" in text and "not this" not in text
+
+
+def test_kafka_rows_by_a_stand_in(spark, tmp_path):
+    """A writer that takes rows as the Kafka connector does: topic as text, key and value as bytes; all options arrive."""
+    from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+
+    class Writer(DataSourceWriter):
+        def __init__(self, options, schema):
+            self.options, self.types = dict(options), [(f.name, f.dataType.simpleString()) for f in schema]
+
+        def write(self, rows):
+            import os
+            import pickle
+
+            with open(os.path.join(self.options["kafka.bootstrap.servers"], os.urandom(8).hex()), "wb") as f:
+                pickle.dump((self.types, self.options, [(r.topic, bytes(r.key), bytes(r.value)) for r in rows]), f)
+            return WriterCommitMessage()
+
+    class StandIn(DataSource):
+        @classmethod
+        def name(cls):
+            return "stand_in_kafka"
+
+        def writer(self, schema, overwrite):
+            return Writer(self.options, schema)
+
+    spark.dataSource.register(StandIn)
+    config = KafkaConfig(brokers=str(tmp_path), compression="lz4")
+    parsed = records(parse_chunks(spark.createDataFrame([(i, bytearray(c)) for i, c in enumerate(_chunks())], "seq long, chunk binary")))
+    kafka_sink(config, "stand_in_kafka")(route(parsed), 0)
+    import pickle
+
+    parts = [pickle.loads(p.read_bytes()) for p in tmp_path.iterdir()]
+    assert all(types == [("topic", "string"), ("key", "binary"), ("value", "binary")] for types, _, _ in parts)
+    assert all({k: o[k] for k in config.options()} == config.options() for _, o, _ in parts)
+    want = [(r.topic, r.key.encode(), r.value.encode()) for r in route(parsed).orderBy("seq", "idx").collect()]
+    got = [r for _, _, rows in parts for r in rows]
+    assert sorted(got) == sorted(want)
+    for k in {r[:2] for r in want}:
+        assert [r for r in got if r[:2] == k] == [r for r in want if r[:2] == k]
 
 
 @pytest.fixture(scope="module")

@@ -6,11 +6,40 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidelog.functions.frames import frame_bytes
-from tidelog.operators.parse import FrameError, errors, first_frame, parse_chunks, parse_frames, parse_hybrid, records
+from tidelog.operators import parse
+from tidelog.operators.parse import errors, first_frame, parse_chunks, records
 from tidelog.operators.tuples import decode_tuple, json_value
-from tidelog.schema import NO_TERMINATOR, SHORT_FRAME
+from tidelog.schema import NO_TERMINATOR, OPERATIONS, SHORT_FRAME
 
 MAX = 2**64 - 1
+
+
+def plain_frames(chunk):
+    """Records of a chunk, byte by byte, or the name of its error."""
+    out, at, end = [], 0, len(chunk)
+    number = int.from_bytes
+    while end - at >= 4:
+        code = chr(chunk[at])
+        if code == "B":
+            at += 5
+            continue
+        if code not in "WIUDT":
+            break
+        if at + 25 > end:
+            return SHORT_FRAME
+        first = chunk.find(0, at + 25)
+        second = chunk.find(0, first + 1) if first >= 0 else -1
+        if second < 0:
+            return NO_TERMINATOR
+        after = second + 1
+        if code != "W":
+            names = [chunk[at + 25 : first].decode("utf-8", "replace"), chunk[first + 1 : second].decode("utf-8", "replace")]
+            oid = number(chunk[after : after + 4]) if end - after > 4 else 0
+            out.append((OPERATIONS[code], number(chunk[at + 1 : at + 9]), number(chunk[at + 9 : at + 17]), number(chunk[at + 17 : at + 25], signed=True), *names, oid))
+        at = after
+    return out
+
+
 #: name: chunk, then records (operation, lsn, xid, time, schema, table, oid) or the error.
 GOLDEN = {
     "G01": ("490000000000000018000000000000000700000000000003e87075626c6963006f7264657273000000400078", [("Insert", 24, 7, 1000, "public", "orders", 16384)]),
@@ -63,9 +92,17 @@ def _found(parsed):
     return out
 
 
-@pytest.mark.parametrize("parse", [parse_chunks, parse_hybrid])
-def test_golden_frames(golden, parse):
-    assert _found(parse(golden)) == _expected()
+def test_golden_frames(golden):
+    assert _found(parse_chunks(golden)) == _expected()
+    assert {i: w if isinstance(w, str) else list(w) for i, w in _expected().items()} == {i: w for i, (x, _) in enumerate(GOLDEN.values()) if (w := plain_frames(bytes.fromhex(x)))}
+
+
+def test_outcomes_count_every_chunk(golden):
+    rows = parse_chunks(golden.withColumn("twice", F.col("seq") * 2), keep=["twice"], outcomes=True).collect()
+    assert {r.seq for r in rows} == {*range(len(GOLDEN)), 99} and all(r.twice == 2 * r.seq for r in rows)
+    assert sorted(r.seq for r in rows if not r.idx) == sorted({r.seq for r in rows})
+    want = _expected()
+    assert {r.seq for r in rows if r.idx is None} == {r.seq for r in rows} - set(want)
 
 
 def test_first_frame(golden):
@@ -101,29 +138,52 @@ u64 = st.integers(0, MAX)
 names = st.text(st.characters(blacklist_characters="\0", blacklist_categories=["Cs"]), max_size=8)
 
 
+def _parsed(chunks):
+    """Records of many chunks by the vectorised search, as :func:`plain_frames` gives them."""
+    import numpy as np
+
+    ends = np.cumsum([len(c) for c in chunks])
+    rows, place, error = parse.find_frames(np.frombuffer(b"".join(chunks), "u1"), ends - [len(c) for c in chunks], ends)
+    assert [p for c in range(len(chunks)) for p in place[rows[:, 0] == c].tolist()] == [p for c in range(len(chunks)) for p in range(int((rows[:, 0] == c).sum()))]
+    data, out = b"".join(chunks), [parse._ERRORS[e] or [] for e in error]
+    for chunk, at, first, second in rows.tolist():
+        out[chunk].append((at - int(ends[chunk]) + len(chunks[chunk]), data[at + 25 : first], data[first + 1 : second]))
+    return out
+
+
 @given(codes, u64, u64, st.integers(-(2**63), 2**63 - 1), names, names, st.integers(0, 2**24 - 1))
 def test_encoded_frames_come_back(code, lsn, xid, time, schema, table, oid):
-    found = parse_frames(frame_bytes(code, lsn, xid, time, schema, table, oid, b"x"))
+    found = plain_frames(frame_bytes(code, lsn, xid, time, schema, table, oid, b"x"))
     want = {"I": "Insert", "U": "Update", "D": "Delete", "T": "Truncate"}.get(code)
-    assert found == ([(lsn, schema, table, want, oid, time, xid)] if want else [])
+    assert found == ([(want, lsn, xid, time, schema, table, oid)] if want else [])
+
 
+chunk_bytes = st.binary(max_size=120) | st.lists(st.sampled_from([b"I", b"B", b"W", b"\0", b"s\0t\0", b"\1" * 24, b"k"]), max_size=20).map(b"".join)
 
-@given(st.binary(max_size=120) | st.lists(st.sampled_from([b"I", b"B", b"W", b"\0", b"s\0t\0", b"\1" * 24, b"k"]), max_size=20).map(b"".join))
+
+@given(st.lists(chunk_bytes, max_size=6), st.sampled_from([1, 2, 1000]))
 @settings(max_examples=300)
-def test_any_bytes_end(data):
+def test_any_bytes_end(chunks, side_by_side):
+    before, parse.SIDE_BY_SIDE = parse.SIDE_BY_SIDE, side_by_side
     try:
-        assert isinstance(parse_frames(data), list)
-    except FrameError as e:
-        assert str(e) in (SHORT_FRAME, NO_TERMINATOR)
+        found = _parsed(chunks)
+    finally:
+        parse.SIDE_BY_SIDE = before
+    for chunk, got in zip(chunks, found):
+        want = plain_frames(chunk)
+        if isinstance(want, str):
+            assert got == want
+        else:
+            assert [(s.decode("utf-8", "replace"), t.decode("utf-8", "replace")) for _, s, t in got] == [r[4:6] for r in want]
 
 
-def test_paths_agree_on_random_chunks(spark):
+def test_random_chunks(spark):
     import random
 
     rng = random.Random(7)
     parts = [b"I", b"U", b"B", b"W", b"Q", b"\0", b"\0\0", b"\1" * 24, b"ab\0cd\0", b"\xff\xc3", b"xyz"]
-    rows = [(i, bytearray(b"".join(rng.choices(parts, k=rng.randint(0, 12))))) for i in range(400)]
-    rows += [(1000 + i, bytearray(frame_bytes("I", i, i, i, "s", "t", i << 20, b"x" * (i % 7)))) for i in range(100)]
-    df = spark.createDataFrame(rows, "seq long, chunk binary")
-    key = lambda d: sorted(map(str, d.collect()))
-    assert key(parse_chunks(df)) == key(parse_hybrid(df))
+    rows = [(i, b"".join(rng.choices(parts, k=rng.randint(0, 12)))) for i in range(400)]
+    rows += [(1000 + i, frame_bytes("I", i, i, i, "s", "t", i << 20, b"x" * (i % 7))) for i in range(100)]
+    rows += [(2000 + i, b"".join(frame_bytes(rng.choice("WIUDT"), MAX - i, k, -k, "\u00e9" * (k % 3), "t\U0001f600") for k in range(i % 40))) for i in range(60)]
+    df = spark.createDataFrame([(i, bytearray(c)) for i, c in rows], "seq long, chunk binary").repartition(2)
+    assert _found(parse_chunks(df)) == {i: want for i, c in rows if (want := plain_frames(c))}

@@ -7,11 +7,14 @@ import os
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from logging.handlers import TimedRotatingFileHandler
 
 from .schema import BATCH_SIZE, DEFAULT_SLOT
 
 log = logging.getLogger(__name__)
 PREFIX = "WAL_WRITER_"
+#: Fixed value: how long a send may take.
+SEND_TIMEOUT_MS = 30_000
 _INTEGER = re.compile(r"\+?[0-9]+")
 
 
@@ -64,6 +67,7 @@ class KafkaConfig:
             "kafka.acks": self.acks,
             "kafka.linger.ms": str(self.linger_ms),
             "kafka.batch.size": str(self.batch_size),
+            "kafka.request.timeout.ms": str(SEND_TIMEOUT_MS),
         }
         return out | ({"kafka.compression.type": self.compression} if self.compression else {})
 
@@ -80,6 +84,17 @@ class LoggingConfig:
     log_dir: str = "/var/log/wal-writer"
     level: str = "info"
 
+    def start(self, logger: logging.Logger | None = None) -> logging.Logger:
+        """Log to a file that is begun anew every day, and to the standard error stream, from ``level`` on."""
+        logger = logger or logging.getLogger("tidelog")
+        os.makedirs(self.log_dir, exist_ok=True)
+        form = logging.Formatter("%(asctime)s %(levelname)s %(name)s: %(message)s")
+        for handler in (TimedRotatingFileHandler(os.path.join(self.log_dir, "wal-writer.log"), when="midnight", utc=True, delay=True), logging.StreamHandler()):
+            handler.setFormatter(form)
+            logger.addHandler(handler)
+        logger.setLevel({"trace": "DEBUG", "warn": "WARNING"}.get(self.level.lower(), self.level.upper()))
+        return logger
+
 
 @dataclass(frozen=True)
 class StateConfig:

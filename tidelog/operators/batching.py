@@ -2,17 +2,21 @@
 
 All records of a chunk join the open batch, which is then closed if it holds ``size``
 records or more. What a run of chunks does to the open batch depends only on the number
-of records in it, under ``size``. So each range of chunks is first summed up as a table
-(open records before: open records after, batches closed), the tables are chained on the
-driver, one a range, and each range is then numbered by itself.
+of records in it, under ``size``. So rows are dealt into ranges once, each range is summed
+up as a table (open records before: open records after, batches closed), the tables are
+chained on the driver, one a range, and each range is then numbered by itself, as a stream
+of its rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import BATCH_SIZE
 from ..session import checkpointed
@@ -33,52 +37,91 @@ def close_batches(counts: np.ndarray, size: int, open_now: int = 0, batch: int =
     return out, open_now, batch
 
 
-def _transitions(counts: np.ndarray, size: int) -> tuple[list[int], list[int]]:
-    """For each number of open records before: open records after, and batches closed."""
+def _advance(now: np.ndarray, closed: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The table of a range after more chunks: for each number of open records before, those after, and batches closed."""
     if len(counts) and counts.max(initial=0) <= 1:
-        total = np.arange(size) + int(counts.sum())
-        return (total % size).tolist(), (total // size).tolist()
-    now, closed = np.arange(size), np.zeros(size, "i8")
+        total = now + int(counts.sum())
+        return total % size, closed + total // size
     for n in counts[counts > 0].tolist():
         now = now + n
         full = now >= size
-        closed += full
-        now[full] = 0
-    return now.tolist(), closed.tolist()
+        closed, now = closed + full, np.where(full, 0, now)
+    return now, closed
+
+
+class _Runs:
+    """Chunks of a range, as runs of equal numbers in batches of its rows; the last one stays open."""
+
+    def __init__(self) -> None:
+        self.seq: int | None = None
+        self.count = 0
+
+    def add(self, seq: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Records of the chunks that are complete now, and the run of each row (0: the run that was open before)."""
+        if not len(seq):
+            return np.empty(0, "i8"), np.empty(0, "i8")
+        new = np.concatenate([[self.seq is None or seq[0] != self.seq], seq[1:] != seq[:-1]])
+        first = self.seq is None
+        run = np.cumsum(new) - (1 if first else 0)
+        counts = np.bincount(run, weights=n, minlength=run[-1] + 1).astype("i8")
+        counts[0] += 0 if first else self.count
+        self.seq, self.count = seq[-1], int(counts[-1])
+        return counts[:-1], run
+
+
+def _numbered(rows: DataFrame, weight: Column, size: int) -> DataFrame:
+    """``rows`` (``seq`` and others) with ``batch_id``, where ``weight`` is the number of records a row stands for."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [c for c in ("seq", "idx") if c in rows.columns]
+    ranged = rows.withColumn("_weight", weight.cast("long")).repartitionByRange(n, "seq").sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    ranged = checkpointed(ranged)
+
+    def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, closed, runs, part = np.arange(size), np.zeros(size, "i8"), _Runs(), None
+        for batch in batches:
+            if batch.num_rows:
+                part = batch.column(2)[0].as_py()
+                counts, _ = runs.add(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+                now, closed = _advance(now, closed, counts, size)
+        if part is not None:
+            now, closed = _advance(now, closed, np.array([runs.count]), size)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([now], pa.list_(pa.int64())), pa.array([closed], pa.list_(pa.int64()))], ["part", "after", "closed"])
+
+    tables = ranged.select("seq", "_weight", "_part").mapInArrow(summary, "part int, after array<long>, closed array<long>").collect()
+    starts, open_now, batch_now = {}, 0, 0
+    for r in sorted(tables, key=lambda r: r["part"]):
+        starts[r["part"]] = (open_now, batch_now)
+        open_now, batch_now = r["after"][open_now], batch_now + r["closed"][open_now]
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs, state = _Runs(), None
+        for batch in batches:
+            if batch.num_rows:
+                state = state or starts[batch.column(2)[0].as_py()]
+                counts, run = runs.add(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+                ids, *state = close_batches(counts, size, *state)
+                ids = np.append(ids, state[1])  # of the chunk that is open still
+                yield pa.RecordBatch.from_arrays([*batch.columns[3:], pa.array(ids[run])], schema.names)
+
+    kept = rows.columns
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType())])
+    return ranged.select("seq", "_weight", "_part", *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(kept)]).mapInArrow(number, schema)
 
 
 def assign_batches(counts: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
     """``seq, n, batch_id`` for ``counts(seq, n)``: records of each chunk, empty ones included.
 
-    Range-partitioned by ``seq``; memory is one range. An empty table gives no rows.
+    An empty table gives no rows. A range is read as a stream, so memory doesn't follow it.
     """
-    spark = counts.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = checkpointed(counts.select("seq", F.col("n").cast("long").alias("n")).repartitionByRange(n, "seq").withColumn("part", F.spark_partition_id()))
+    return _numbered(counts.select("seq", F.col("n").cast("long").alias("n")), F.col("n"), size)
 
-    def summary(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.sort_by("seq")
-        after, closed = _transitions(table.column("n").to_numpy(), size)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "after": pa.array([after], pa.list_(pa.int64())), "closed": pa.array([closed], pa.list_(pa.int64()))})
 
-    tables = ranged.groupBy("part").applyInArrow(summary, "part int, after array<long>, closed array<long>").collect()
-    starts, open_now, batch = {}, 0, 0
-    for r in sorted(tables, key=lambda r: r["part"]):
-        starts[r["part"]] = (open_now, batch)
-        open_now, batch = r["after"][open_now], batch + r["closed"][open_now]
+def with_batches(records: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
+    """Records with their ``batch_id``; rows that are none (a parse with outcomes) count nothing and go along.
 
-    def number(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.sort_by("seq")
-        ids, _, _ = close_batches(table.column("n").to_numpy(), size, *starts[key[0].as_py()])
-        return pa.table({"seq": table.column("seq"), "n": table.column("n"), "batch_id": pa.array(ids, pa.int64())})
-
-    return ranged.groupBy("part").applyInArrow(number, "seq long, n long, batch_id long")
-
-
-def with_batches(records: DataFrame, chunks: DataFrame | None = None, size: int = BATCH_SIZE) -> DataFrame:
-    """Records with their ``batch_id``. ``chunks`` adds nothing but its type: chunks without records close no batch."""
-    counts = records.groupBy("seq").agg(F.count("*").alias("n"))
-    return records.join(assign_batches(counts, size).select("seq", "batch_id"), "seq")
+    Chunks without records close no batch, so they needn't be there.
+    """
+    return _numbered(records, F.when(F.col("operation").isNotNull(), 1).otherwise(0), size)
 
 
 def batch_summary(batched: DataFrame) -> DataFrame:

@@ -32,9 +32,10 @@ def payload(records: DataFrame) -> Column:
     return F.to_json(F.struct(*[field(c) for c in RECORD_FIELDS]), {"ignoreNullFields": "false"})
 
 
-def route(records: DataFrame, prefix: str = "cdc") -> DataFrame:
-    """``topic, key, value`` and the place ``seq, idx`` of each record. A projection: no shuffle."""
+def route(records: DataFrame, prefix: str = "cdc", *more: str) -> DataFrame:
+    """``topic, key, value`` and the place ``seq, idx`` of each record, and ``more`` columns. A projection: no shuffle."""
     return records.select(
+        *more,
         "seq",
         "idx",
         topic(prefix, F.col("table_schema"), F.col("table_name")).alias("topic"),
@@ -43,9 +44,12 @@ def route(records: DataFrame, prefix: str = "cdc") -> DataFrame:
     )
 
 
-def ordered_by_topic(messages: DataFrame) -> DataFrame:
-    """Messages of one topic together and in order of arrival, as sinks that keep order need them."""
-    return messages.repartition("topic").sortWithinPartitions("topic", "seq", "idx")
+def ordered_by_key(messages: DataFrame) -> DataFrame:
+    """Messages of one topic and key together and in order of arrival, as sinks that keep order by key need them.
+
+    A busy topic is dealt by its keys, so it isn't one task.
+    """
+    return messages.repartition("topic", "key").sortWithinPartitions("topic", "seq", "idx")
 
 
 def group_counts(records: DataFrame, *more: str) -> DataFrame:

@@ -6,21 +6,26 @@ computes the same answers without any bytes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.binary import code_of, lsn_hex, number_or
+from ..config import AppConfig
+from ..functions.binary import code_of, lsn_hex, lsn_text, number_or, operation_label
 from ..functions.frames import event_chunks, event_fields, frame, u32_bytes
-from ..operators.batching import batch_summary, with_batches
-from ..operators.metrics import chunk_counters, table_metrics
-from ..operators.parse import first_frame, parse_chunks, parse_hybrid, records
-from ..operators.route import group_counts, route
+from ..operators.batching import assign_batches, batch_summary, with_batches
+from ..operators.metrics import chunk_counters, table_lag, table_metrics
+from ..operators.parse import first_frame, parse_chunks, records
+from ..operators.route import group_counts, group_lists, route, topic
 from ..operators.tuples import decode_tuple
 from ..schema import DEFAULT_SLOT
-from ..sources.catalog import slot_exists
-from ..sources.checkpoint import latest_position, resume_after
+from ..session import shared_dir
+from ..sources.catalog import known_slots, single_consumer, slot_exists
+from ..sources.checkpoint import CheckpointStore, checkpoint_json, latest_by_slot, latest_position, positions_of, resume_after, start_positions
+from ..streaming.pipeline import Pipeline
+from ..streaming.sink import parquet_sink
 
 _CHANGES = """
 WITH ch AS (SELECT event_id AS seq, substr('IUDTW', CAST(event_id % 5 AS INTEGER) + 1, 1) AS msg,
@@ -72,10 +77,14 @@ def decode_operation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frame_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = _chunks(spark, sf_dir).select("seq", "chunk")
-    found = records(parse_chunks(chunks)).groupBy("seq").agg(F.count("*").alias("k"))
-    by_code = chunks.select("seq", code_of(F.col("chunk")).alias("msg")).join(found, "seq", "left")
-    return by_code.groupBy("msg").agg(F.count("*").alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("emitted"))
+    chunks = _chunks(spark, sf_dir).select("seq", "chunk", code_of(F.col("chunk")).alias("msg"))
+    parsed = parse_chunks(chunks, keep=["msg"], outcomes=True)
+    return parsed.groupBy("msg").agg(F.count_if(_first_row()).alias("n"), F.count("operation").alias("emitted"))
+
+
+def _first_row() -> Column:
+    """True once for each chunk in a parse with outcomes."""
+    return F.coalesce(F.col("idx"), F.lit(0)) == 0
 
 
 def oid_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +100,7 @@ def multi_frame_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.sort_array(F.collect_list(F.struct("seq", one.alias("f"))))
     chunks = f.groupBy(F.expr("seq div 4").alias("seq")).agg(body.alias("parts"))
     joined = F.aggregate("parts", F.unhex(F.lit("")), lambda s, x: F.concat(s, x["f"]))
-    parsed = records(parse_hybrid(chunks.select("seq", joined.alias("chunk"))))
+    parsed = records(parse_chunks(chunks.select("seq", joined.alias("chunk"))))
     # The place of a record in its chunk counts records only; its own number follows from its position.
     return parsed.select(F.col("seq").alias("chunk_id"), F.expr("cast((lsn - 24) / 16777216 as long)").alias("seq"), "oid")
 
@@ -101,10 +110,8 @@ def parse_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunk = F.col("chunk")
     cut = F.when(F.col("seq") % 7 == 0, F.substring(chunk, 1, F.octet_length(chunk) - 6)).otherwise(chunk)
     chunks = _chunks(spark, sf_dir).select("seq", cut.alias("chunk"))
-    parsed = parse_hybrid(chunks).groupBy("seq").agg(F.max("error").alias("error"))
-    outcome = F.when(F.col("error").isNotNull(), "error").when(F.col("parsed.seq").isNull(), "skipped").otherwise("record")
-    every = chunks.select("seq").alias("c").join(parsed.alias("parsed"), F.col("c.seq") == F.col("parsed.seq"), "left")
-    return every.select(outcome.alias("outcome")).groupBy("outcome").agg(F.count("*").alias("n"))
+    outcome = F.when(F.col("error").isNotNull(), "error").when(F.col("operation").isNull(), "skipped").otherwise("record")
+    return parse_chunks(chunks, outcomes=True).where(_first_row()).groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
 
 
 def route_topic_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,11 +147,16 @@ def slot_exists_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = _chunks(spark, sf_dir)
-    batched = with_batches(records(first_frame(chunks)))
-    size = chunks.agg(chunk_counters()[1])
-    sent = route(batched.select([c for c in batched.columns if c != "batch_id"])).agg(F.count("*").alias("messages_sent"))
-    return size.join(batched.agg(F.count("*").alias("records_parsed"), F.count_distinct("batch_id").alias("batches_sent")), how="cross").join(sent, how="cross")
+    """All counters from one pass over the parsed chunks."""
+    chunks = _chunks(spark, sf_dir).select("seq", "chunk", F.octet_length("chunk").alias("size"))
+    batched = with_batches(parse_chunks(chunks, keep=["size"], outcomes=True))
+    is_record = F.col("operation").isNotNull()
+    return batched.agg(
+        F.sum(F.when(_first_row(), F.col("size"))).alias("bytes_received"),
+        F.count("operation").alias("records_parsed"),
+        F.coalesce(F.max(F.when(is_record, F.col("batch_id"))) + 1, F.lit(0)).alias("batches_sent"),
+        F.count(F.when(is_record, topic("cdc", F.col("table_schema"), F.col("table_name")))).alias("messages_sent"),
+    )
 
 
 def table_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,6 +178,132 @@ def tuple_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("seq", "pos", F.col("c.type_oid").alias("type_oid"), F.col("c.value").cast("string").alias("value"), F.col("c.is_null").alias("is_null"))
 
 
+def _frames(spark: SparkSession, sf_dir: str, **fields: Column) -> DataFrame:
+    """``seq, chunk`` of the changes of events, one frame each, with some of its fields made otherwise."""
+    f = event_fields(_events(spark, sf_dir)).withColumns(fields)
+    head = [F.col(c) for c in ("msg", "lsn", "xid", "ct", "table_schema", "table_name")]
+    return f.select("seq", F.inline(F.array(F.struct(frame(*head, u32_bytes(F.col("oid")), F.encode(F.lit("x"), "UTF-8")).alias("chunk")))))
+
+
+def short_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks cut at 0 to 59 bytes: too short for a code, a header, a name, or whole."""
+    cut = F.substring("chunk", F.lit(1), (F.col("seq") % 60).cast("int"))
+    parsed = parse_chunks(_chunks(spark, sf_dir).select("seq", cut.alias("chunk")), outcomes=True).where(_first_row())
+    return parsed.select("seq", F.coalesce("error", F.when(F.col("operation").isNotNull(), "record"), F.lit("skipped")).alias("outcome"))
+
+
+def lossy_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed bytes in names: of every three one has a byte that never occurs, one half a character."""
+    f = event_fields(_events(spark, sf_dir))
+    broken = F.when(F.col("seq") % 3 == 1, F.unhex(F.lit("FF"))).when(F.col("seq") % 3 == 2, F.unhex(F.lit("C3"))).otherwise(F.unhex(F.lit("")))
+    before = frame(F.lit("I"), *[F.col(c) for c in ("lsn", "xid", "ct", "table_schema", "table_name")])
+    chunk = F.concat(F.substring(before, F.lit(1), F.octet_length(before) - 1), broken, F.encode(F.lit("z"), "UTF-8"), F.unhex(F.lit("00")))
+    chunks = f.select("seq", F.inline(F.array(F.struct(chunk.alias("chunk")))))
+    both = records(parse_chunks(chunks)).select("seq", "table_schema", "table_name", F.lit("batches").alias("path"))
+    return both.unionByName(records(first_frame(chunks)).select("seq", "table_schema", "table_name", F.lit("expressions").alias("path")))
+
+
+def wide_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions from 2 ** 63 on, transaction ids up to 2 ** 64 - 1 and negative times, in numbers and in messages."""
+    i = F.col("seq")
+    parsed = records(parse_chunks(_frames(spark, sf_dir, lsn=F.lit(-(2**63)) + i, xid=-1 - i, ct=-i, msg=F.lit("U"))))
+    return route(parsed, "cdc", "lsn", "tx_commit_time").select("seq", F.col("lsn").cast("string").alias("lsn"), F.col("tx_commit_time").alias("ct"), "key", "value", lsn_text(F.col("lsn")).alias("lsn_text"), lsn_hex(F.col("lsn")).alias("lsn_pg"))
+
+
+def last_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions that don't rise with arrival: the last record of a batch counts, not the largest."""
+    parsed = records(first_frame(_frames(spark, sf_dir, lsn=F.col("seq") * 7919 % 10007)))
+    return batch_summary(with_batches(parsed)).select("batch_id", "n", _long("last_lsn"))
+
+
+def batch_overshoot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of 60, 60, 10, 100 and 1 records, over and over: a batch takes the whole chunk that fills it."""
+    f = event_fields(_events(spark, sf_dir)).withColumn("p", F.col("seq") % 231)
+    at = F.when(F.col("p") < 60, 0).when(F.col("p") < 120, 1).when(F.col("p") < 130, 2).when(F.col("p") < 230, 3).otherwise(4)
+    one = frame(F.lit("I"), *[F.col(c) for c in ("lsn", "xid", "ct", "table_schema", "table_name")])
+    parts = f.groupBy((F.expr("5 * (seq div 231)") + at).alias("chunk_id")).agg(F.sort_array(F.collect_list(F.struct("seq", one.alias("f")))).alias("parts"))
+    chunks = parts.select(F.col("chunk_id").alias("seq"), F.unhex(F.array_join(F.transform("parts", lambda x: F.hex(x["f"])), "")).alias("chunk"))
+    batched = with_batches(records(parse_chunks(chunks)))
+    return batched.groupBy(F.col("seq").alias("chunk_id"), "batch_id").agg(F.count("*").alias("n"))
+
+
+def empty_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two chunks in three have no record; the others fill a batch each."""
+    counts = _events(spark, sf_dir).select(F.col("event_id").alias("seq"), F.when(F.col("event_id") % 3 == 0, 100).otherwise(0).alias("n"))
+    return assign_batches(counts)
+
+
+def group_lists_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of each batch and table, in order of arrival."""
+    lists = group_lists(with_batches(_records(spark, sf_dir)), "batch_id")
+    return lists.select("batch_id", "table_name", F.array_join(F.transform("records", lambda r: r["seq"].cast("string")), ",").alias("seqs"))
+
+
+def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An update of a slot's position for each event; slots are named by the type."""
+    e = _events(spark, sf_dir)
+    updates = e.select(F.col("event_type").alias("slot"), F.col("event_id").alias("batch_id"), lsn_text((F.col("event_id") * 16777216 + 24).cast("decimal(20,0)")).alias("last_lsn"), F.expr("event_id div 7").alias("last_commit_time"))
+    return latest_by_slot(updates)
+
+
+def checkpoint_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _positions(spark, sf_dir)
+
+
+def checkpoint_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The positions as the JSON map of the checkpoint file, read back."""
+    return positions_of(checkpoint_json(_positions(spark, sf_dir)))
+
+
+def checkpoint_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where slots start: known ones, and two that have no position."""
+    wanted = _events(spark, sf_dir).select(F.col("event_type").alias("slot_name")).distinct()
+    return start_positions(wanted.unionByName(spark.createDataFrame([("new",), ("newer",)], "slot_name string")), _positions(spark, sf_dir))
+
+
+def operation_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _records(spark, sf_dir).groupBy(operation_label(F.col("operation")).alias("label")).agg(F.count("*").alias("n"))
+
+
+def table_lag_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Milliseconds from the last commit of each table to the start of 2100 (commit times here are in microseconds)."""
+    return table_lag(_records(spark, sf_dir), F.lit(4102444800000), F.expr("tx_commit_time div 1000")).drop("table_schema")
+
+
+def slots_of_consumers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consumers that want slots: which exist, and which are wanted twice."""
+    e = _events(spark, sf_dir)
+    wanted = e.select(F.concat("event_type", F.lit("_"), (F.col("event_id") % 7).cast("string")).alias("slot_name"))
+    slots = e.where("event_id % 2 = 0").select(F.concat("event_type", F.lit("_"), (F.col("event_id") % 5).cast("string")).alias("slot_name")).distinct()
+    known = known_slots(wanted, slots).groupBy("slot_name").agg(F.count("*").alias("known"))
+    return single_consumer(wanted).join(known, "slot_name", "left").select("slot_name", "consumers", F.coalesce("known", F.lit(0)).alias("known"))
+
+
+def config_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of 16, 32 and 64 bits in texts: signs, blanks, too large, none."""
+    texts = ["5432", "+5432", "-1", " 5432", "70000", "65535", "4294967296", "18446744073709551615", "18446744073709551616", "1e3", "", None]
+    rows = [(t, bits) for t in texts for bits in (16, 32, 64)]
+    out = [spark.createDataFrame([(t, b) for t, b in rows if b == bits], "v string, bits int").select("v", "bits", number_or(F.col("v"), F.lit(7), bits).cast("string").alias("val")) for bits in (16, 32, 64)]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def config_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the settings make of an environment that sets two of them."""
+    c = AppConfig.from_env({"WAL_WRITER_PG_HOST": "db", "WAL_WRITER_KAFKA_TOPIC_PREFIX": "p"})
+    rows = {"connection": c.postgres.connection_string(), "slot": c.postgres.slot, "start": CheckpointStore().start(c.postgres.slot), "prefix": c.kafka.topic_prefix, "log": c.logging.log_dir, "level": c.logging.level}
+    rows |= {k: c.kafka.options()[f"kafka.{k}"] for k in ("bootstrap.servers", "acks", "linger.ms", "batch.size")}
+    return spark.createDataFrame(sorted(rows.items()), "k string, v string")
+
+
+def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream of chunks through the whole pipeline, to a Parquet sink in the shared folder, read back."""
+    base = f"{shared_dir(spark)}/tidelog-stream-{uuid.uuid4().hex}"
+    events = spark.readStream.schema(_events(spark, sf_dir).schema).parquet(f"{sf_dir}/events.parque[t]")
+    pipeline = Pipeline(AppConfig(), parquet_sink(f"{base}/out"))
+    pipeline.start(event_chunks(events).select("seq", "chunk"), f"{base}/state", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{base}/out/batch_id=*").select("seq", F.col("key"), "value", "batch")
+
+
 _TAILS = {
     "topic_counts": "SELECT 'cdc.' || table_schema || '.' || table_name AS topic, count(*) AS n FROM rec GROUP BY 1",
     "scan_chunks": "SELECT count(*) AS n_chunks, CAST(sum(38 + length(table_name)) AS BIGINT) AS n_bytes FROM ch",
@@ -193,7 +331,36 @@ _TAILS = {
     "tuple_decode": """SELECT seq, CAST(pos AS INTEGER) AS pos, CAST([23, 25, 1043][pos + 1] AS BIGINT) AS type_oid,
         CASE WHEN pos = seq % 4 THEN table_name END AS value, pos <> seq % 4 AS is_null FROM ch, range(3) p(pos)""",
 }
+_LATEST = "SELECT event_type AS slot, CAST((max(event_id) * 16777216 + 24) >> 32 AS VARCHAR) || '/' || CAST((max(event_id) * 16777216 + 24) & 4294967295 AS VARCHAR) AS last_lsn, max(event_id) // 7 AS last_commit_time FROM events GROUP BY 1"
+_TAILS |= {
+    "short_frames": """SELECT seq, CASE WHEN n < 4 THEN 'skipped' WHEN n < 25 THEN 'short_frame' WHEN n < 33 + length(table_name) THEN 'missing_terminator' WHEN msg = 'W' THEN 'skipped' ELSE 'record' END AS outcome
+        FROM (SELECT *, seq % 60 AS n FROM ch)""",
+    "lossy_names": """SELECT seq, table_schema, table_name || CASE WHEN seq % 3 = 0 THEN '' ELSE chr(65533) END || 'z' AS table_name, path FROM ch, (VALUES ('batches'), ('expressions')) p(path)""",
+    "wide_numbers": """, w AS (SELECT *, 9223372036854775808 + CAST(seq AS HUGEINT) AS l, 18446744073709551615 - CAST(seq AS HUGEINT) AS x FROM ch)
+        SELECT seq, CAST(l AS VARCHAR) AS lsn, -seq AS ct, CAST(x AS VARCHAR) AS key,
+          '{"lsn":' || l || ',"table_schema":"public","table_name":"' || table_name || '","operation":"Update","oid":' || oid || ',"new_tuple":null,"old_tuple":null,"tx_commit_time":' || -seq || ',"tx_xid":' || x || '}' AS value,
+          CAST(l // 4294967296 AS VARCHAR) || '/' || CAST(l % 4294967296 AS VARCHAR) AS lsn_text, printf('%X/%X', CAST(l // 4294967296 AS BIGINT), CAST(l % 4294967296 AS BIGINT)) AS lsn_pg FROM w""",
+    "last_by_arrival": "SELECT batch_id, count(*) AS n, arg_max(seq * 7919 % 10007, seq) AS last_lsn FROM bat GROUP BY batch_id",
+    "batch_overshoot": """, p AS (SELECT seq // 231 AS turn, seq % 231 AS p FROM ch)
+        SELECT 5 * turn + CASE WHEN p < 60 THEN 0 WHEN p < 120 THEN 1 WHEN p < 130 THEN 2 WHEN p < 230 THEN 3 ELSE 4 END AS chunk_id,
+          2 * turn + CASE WHEN p < 120 THEN 0 WHEN p < 230 THEN 1 ELSE 2 END AS batch_id, count(*) AS n FROM p GROUP BY ALL""",
+    "empty_chunks": "SELECT seq, CAST(n AS BIGINT) AS n, CAST(coalesce(sum(n // 100) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS batch_id FROM (SELECT seq, CASE WHEN seq % 3 = 0 THEN 100 ELSE 0 END AS n FROM ch)",
+    "group_lists": "SELECT batch_id, table_name, string_agg(CAST(seq AS VARCHAR), ',' ORDER BY seq) AS seqs FROM bat GROUP BY ALL",
+    "operation_labels": "SELECT upper(operation) AS label, count(*) AS n FROM rec GROUP BY 1",
+    "table_lag": "SELECT table_name, 4102444800000 - max(ct // 1000) AS lag_ms FROM rec GROUP BY 1",
+    "stream_messages": """SELECT seq, CAST(xid AS VARCHAR) AS key, '{"lsn":' || lsn || ',"table_schema":"' || table_schema || '","table_name":"' || table_name || '","operation":"' || operation
+        || '","oid":' || oid || ',"new_tuple":null,"old_tuple":null,"tx_commit_time":' || ct || ',"tx_xid":' || xid || '}' AS value, batch_id AS batch FROM bat""",
+}
 _WHOLE = {
+    "checkpoint_upsert": _LATEST,
+    "checkpoint_file": _LATEST,
+    "checkpoint_lookup": f"SELECT slot AS slot_name, last_lsn AS start FROM ({_LATEST}) UNION ALL SELECT * FROM (VALUES ('new', '0/0'), ('newer', '0/0')) v",
+    "slots_of_consumers": """WITH w AS (SELECT event_type || '_' || event_id % 7 AS slot_name FROM events), s AS (SELECT DISTINCT event_type || '_' || event_id % 5 AS slot_name FROM events WHERE event_id % 2 = 0)
+        SELECT slot_name, count(*) AS consumers, count(*) FILTER (WHERE slot_name IN (SELECT slot_name FROM s)) AS known FROM w GROUP BY 1 HAVING count(*) > 1""",
+    "config_numbers": """SELECT v, bits, CASE WHEN regexp_full_match(v, '[+]?[0-9]+') AND CAST(v AS HUGEINT) < power(2, bits)::HUGEINT THEN CAST(CAST(v AS HUGEINT) AS VARCHAR) ELSE '7' END AS val
+        FROM (VALUES ('5432'), ('+5432'), ('-1'), (' 5432'), ('70000'), ('65535'), ('4294967296'), ('18446744073709551615'), ('18446744073709551616'), ('1e3'), (''), (NULL)) t(v), (VALUES (16), (32), (64)) b(bits)""",
+    "config_strings": """SELECT * FROM (VALUES ('connection', 'host=db port=5432 user=postgres password= dbname=postgres'), ('slot', 'wal_writer_slot'), ('start', '0/0'), ('prefix', 'p'), ('log', '/var/log/wal-writer'), ('level', 'info'),
+        ('bootstrap.servers', 'localhost:9092'), ('acks', 'all'), ('linger.ms', '5'), ('batch.size', '16384')) t(k, v)""",
     "slot_exists": "SELECT EXISTS(SELECT 1 FROM (VALUES ('wal_writer_slot'), ('other')) s(slot_name) WHERE slot_name = 'wal_writer_slot') AS slot_exists",
     "config_defaults": "SELECT k, coalesce(try_cast(v AS INTEGER), d) AS val FROM (VALUES ('port', '5432x', 5432), ('linger_ms', NULL, 5), ('batch_size', '32768', 16384)) t(k, v, d)",
 }
@@ -222,6 +389,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_metrics": table_metrics_query,
         "config_defaults": config_defaults,
         "tuple_decode": tuple_decode,
+        "short_frames": short_frames,
+        "lossy_names": lossy_names,
+        "wide_numbers": wide_numbers,
+        "last_by_arrival": last_by_arrival,
+        "batch_overshoot": batch_overshoot,
+        "empty_chunks": empty_chunks,
+        "group_lists": group_lists_query,
+        "checkpoint_upsert": checkpoint_upsert,
+        "checkpoint_file": checkpoint_file,
+        "checkpoint_lookup": checkpoint_lookup,
+        "operation_labels": operation_labels,
+        "table_lag": table_lag_query,
+        "slots_of_consumers": slots_of_consumers,
+        "config_numbers": config_numbers,
+        "config_strings": config_strings,
+        "stream_messages": stream_messages,
     }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -9,11 +11,25 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
+
+    A session that names none (a test on one machine) gets a temporary folder; on more
+    than one machine that is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidelog-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` from a reliable checkpoint, in ``spark.checkpoint.dir``; only a session without it gets a folder of its own."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-"))
+    """``df`` from a reliable checkpoint in :func:`shared_dir`."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
 
@@ -23,7 +39,9 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(context, "_tidelog_shipped", False):
         return
     root = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="tidelog-")) / "tidelog.zip"
+    folder = tempfile.mkdtemp(prefix="tidelog-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # executors fetch the file while the session lasts
+    archive = Path(folder) / "tidelog.zip"
     with zipfile.ZipFile(archive, "w") as z:
         for path in sorted(root.rglob("*.py")):
             z.write(path, path.relative_to(root.parent))

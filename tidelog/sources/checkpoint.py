@@ -62,8 +62,12 @@ class CheckpointStore:
 
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     """``slot, last_lsn, last_commit_time`` of a checkpoint file."""
-    text = spark.read.text(path, wholetext=True)
-    slots = text.select(F.explode(F.from_json("value", CHECKPOINT, {"mode": "FAILFAST"})).alias("slot", "state"))
+    return positions_of(spark.read.text(path, wholetext=True))
+
+
+def positions_of(texts: DataFrame) -> DataFrame:
+    """``slot, last_lsn, last_commit_time`` of JSON maps in the column ``value``; a broken one is an error."""
+    slots = texts.select(F.explode(F.from_json("value", CHECKPOINT, {"mode": "FAILFAST"})).alias("slot", "state"))
     return slots.select("slot", "state.last_lsn", "state.last_commit_time")
 
 
@@ -84,6 +88,12 @@ def latest_by_slot(updates: DataFrame) -> DataFrame:
     return updates.groupBy("slot").agg(F.max_by(F.struct("last_lsn", "last_commit_time"), "batch_id").alias("s")).select("slot", "s.*")
 
 
+def start_positions(wanted: DataFrame, latest: DataFrame) -> DataFrame:
+    """``slot_name, start`` of each wanted slot: its last position, else the beginning."""
+    known = latest.select(F.col("slot").alias("slot_name"), "last_lsn")
+    return wanted.join(known, "slot_name", "left").select("slot_name", F.coalesce("last_lsn", F.lit(DEFAULT_POSITION)).alias("start"))
+
+
 def resume_after(records: DataFrame, position: str | Column = DEFAULT_POSITION) -> DataFrame:
     """Records after a position. A comparison of numbers, so it reaches the scan of a stored table."""
     start = lsn_value(F.lit(position) if isinstance(position, str) else position)

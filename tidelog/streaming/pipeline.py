@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import AppConfig
+from ..operators.batching import with_batches
 from ..operators.metrics import observe_chunks, observe_parsed
 from ..operators.parse import parse_chunks, records
 from ..operators.route import route
-from ..sources.checkpoint import CheckpointStore
+from ..sources.checkpoint import CheckpointStore, resume_after
 from .sink import Sink
 
+log = logging.getLogger(__name__)
+
 
 class Totals:
     """Counters of all micro-batches of one query."""
 
     def __init__(self) -> None:
-        self.values = dict.fromkeys(("chunks_received", "bytes_received", "records_parsed", "parse_errors", "batches_sent", "messages_sent"), 0)
+        names = ("chunks_received", "bytes_received", "records_parsed", "parse_errors", "batches_sent", "messages_sent", "send_errors")
+        self.values = dict.fromkeys(names, 0)
         self.last_lsn: int | None = None
 
     def add(self, **found: int) -> None:
@@ -28,9 +35,14 @@ class Totals:
 class Pipeline:
     """Parses, routes and sends each micro-batch, and keeps positions and counters.
 
+    Records join batches of ``replication.batch_size`` by arrival (all of a chunk in one), in
+    the column ``batch`` of the messages. A micro-batch holds what arrived within the poll
+    interval, so its end is the idle flush: its last batch is sent as it is.
+
     Delivery is at least once: the position moves, and a batch counts, only after the sink
-    has taken all of it. A failed task is tried again by Spark and then fails the query;
-    a restarted query replays from Spark's own offsets.
+    has taken all of it. A failed send is counted and fails the query, after Spark has tried
+    its tasks again; a restarted query replays from Spark's own offsets. With a position in
+    ``replication.wal_position``, records up to it are left out.
     """
 
     def __init__(self, config: AppConfig, sink: Sink, store: CheckpointStore | None = None, quarantine: Sink | None = None):
@@ -41,21 +53,38 @@ class Pipeline:
     def process(self, chunks: DataFrame, batch_id: int) -> None:
         """One micro-batch."""
         seen, parsed_seen = Observation(f"chunks{batch_id}"), Observation(f"parsed{batch_id}")
-        parsed = observe_parsed(parse_chunks(observe_chunks(chunks, seen)), parsed_seen).persist()
+        parsed = parse_chunks(observe_chunks(chunks, seen))
+        if self.config.replication.wal_position:
+            parsed = resume_after(records(parsed), self.config.replication.wal_position).unionByName(parsed.where("error IS NOT NULL"))
+        parsed = observe_parsed(parsed, parsed_seen).persist()
+        batched, batches = None, 0
         try:
             parsed.count()
             found, after = seen.get, parsed_seen.get
             if after["records_parsed"]:
-                self.sink(route(records(parsed), self.config.kafka.topic_prefix), batch_id)
+                batched = with_batches(records(parsed), self.config.replication.batch_size).withColumnRenamed("batch_id", "batch").persist()
+                batches = batched.agg(F.max("batch")).first()[0] + 1
+                self._send(route(batched, self.config.kafka.topic_prefix, "batch"), batch_id)
             if after["parse_errors"] and self.quarantine:
                 self.quarantine(parsed.where("error IS NOT NULL").select("seq", "error").join(chunks, "seq"), batch_id)
         finally:
             parsed.unpersist()
+            if batched is not None:
+                batched.unpersist()
         self.totals.add(chunks_received=found["chunks_received"], bytes_received=found["bytes_received"], records_parsed=after["records_parsed"], parse_errors=after["parse_errors"])
         if after["records_parsed"]:
-            self.totals.add(batches_sent=1, messages_sent=after["records_parsed"])
+            self.totals.add(batches_sent=batches, messages_sent=after["records_parsed"])
             self.totals.last_lsn = int(after["last_lsn"])
             self.store.persist(self.config.postgres.slot, f"{self.totals.last_lsn >> 32}/{self.totals.last_lsn & 0xFFFFFFFF}")
+            log.info("micro-batch %d: %d records in %d batches sent, position %s", batch_id, after["records_parsed"], batches, self.store.get(self.config.postgres.slot))
+
+    def _send(self, messages: DataFrame, batch_id: int) -> None:
+        try:
+            self.sink(messages, batch_id)
+        except Exception:
+            self.totals.add(send_errors=1)
+            log.exception("micro-batch %d was not sent", batch_id)
+            raise
 
     def start(self, chunks: DataFrame, checkpoint: str, *, available_now: bool = False) -> StreamingQuery:
         """Run on a stream of chunks; ``available_now`` ends after what is there, with its positions kept."""
@@ -63,5 +92,3 @@ class Pipeline:
         if available_now:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=f"{self.config.replication.poll_interval_ms} milliseconds").start()
-
-

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import KafkaConfig
+from ..operators.route import ordered_by_key
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -30,11 +31,15 @@ def memory_sink(into: list) -> Sink:
     return write
 
 
-def kafka_sink(config: KafkaConfig) -> Sink:
+def kafka_frame(messages: DataFrame) -> DataFrame:
+    """What a Kafka sink is given: ``topic``, and ``key`` and ``value`` as bytes, in order of arrival for each key."""
+    return ordered_by_key(messages).select("topic", F.col("key").cast("binary"), F.col("value").cast("binary"))
+
+
+def kafka_sink(config: KafkaConfig, format_name: str = "kafka") -> Sink:
     """Kafka, at least once (its connector must be on the class path). Each row goes to its own topic; a failed send fails the task."""
 
     def write(messages: DataFrame, batch_id: int) -> None:
-        rows = messages.repartition("topic").sortWithinPartitions("topic", "seq", "idx").select("topic", F.col("key").cast("binary"), F.col("value").cast("binary"))
-        rows.write.format("kafka").options(**config.options()).save()
+        kafka_frame(messages).write.format(format_name).options(**config.options()).mode("append").save()
 
     return write
