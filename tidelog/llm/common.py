@@ -3,29 +3,14 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN_DIR: list[str] = []
-_LEFT: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share.
+from ..session import shared_dir
 
-    It is the one named by ``spark.checkpoint.dir``; only a session without that
-    setting (a test on one machine) gets a temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not _OWN_DIR:
-        _OWN_DIR.append("file://" + tempfile.mkdtemp(prefix="tidelog-"))
-        spark.sparkContext.setCheckpointDir(_OWN_DIR[0])
-    return _OWN_DIR[0]
+_LEFT: list[tuple[SparkSession, str]] = []
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
@@ -34,24 +19,30 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     Cuts the lineage: after the loss of an executor nothing before this point runs
     again. The table is removed at the end of the process, or by :func:`discard`.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidelog-{tag}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, tag)
     df.write.parquet(path)
-    _LEFT.append((spark, path))
-    out = spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._tidelog_path = path
     return out
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder, removed at the end of the process."""
+    path = f"{shared_dir(spark)}/tidelog-{tag}-{uuid.uuid4().hex}"
+    _LEFT.append((spark, path))
+    return path
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove tables of :func:`materialize` that nothing reads any more."""
     for df in tables:
         path = getattr(df, "_tidelog_path", None)
         if path:
-            _remove(df.sparkSession, path)
+            remove(df.sparkSession, path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a path of :func:`scratch`."""
     jvm = spark.sparkContext._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
@@ -62,7 +53,7 @@ def _remove(spark: SparkSession, path: str) -> None:
 def _clean_up() -> None:
     for spark, path in list(_LEFT):
         try:
-            _remove(spark, path)
+            remove(spark, path)
         except Exception:  # the session is closed already: nothing can be removed through it
             return
 

@@ -94,24 +94,28 @@ def mix(
     slices: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
+    tokens: Column | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Selected documents: ``doc_id, <levels>, epoch, n_tokens, take_tokens`` and ``keep``.
 
-    ``levels``: names and columns of the tree, root's children first. A document counts a
-    token per four bytes of UTF-8, rounded up. ``budget`` is in tokens, or ``budget_share``
+    ``levels``: names and columns of the tree, root's children first. A document counts
+    ``tokens`` (a column of whole numbers, as of a token count), or without that a token per
+    four bytes of UTF-8, rounded up. ``budget`` is in tokens, or ``budget_share``
     gives it as a fraction of all tokens. Nodes without a weight count 1; a weight of 0
     gives nothing. The last document of a leaf's prefix has ``take_tokens`` under
     ``n_tokens``.
 
-    Nulls in a level are the level ''. Null and empty texts have no tokens and are never
-    selected. Null ids are ordered first; repeated rows are selected each for itself. An
+    Nulls in a level are the level ''. Null and empty texts, or null counts, have no tokens
+    and are never selected. Null ids are ordered first; repeated rows are selected each for itself. An
     empty table gives no rows. Columns that clash with names used here aren't read unless
     named in ``keep``.
     """
     spark = docs.sparkSession
     names = list(levels)
-    tokens = F.coalesce(F.ceil(F.octet_length(F.col(text_col).cast("string")) / 4), F.lit(0)).cast("long")
+    if tokens is None:
+        tokens = F.ceil(F.octet_length(F.col(text_col).cast("string")) / 4)
+    tokens = F.coalesce(tokens, F.lit(0)).cast("long")
     kept = [F.col(c).alias(f"kept_{c}") for c in keep]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()], tokens.alias("n_tokens"), *kept)
     rows = rows.where(F.col("n_tokens") > 0)
