@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, range_buckets
+from .common import discard, materialize, range_buckets, ranges_of
 from .encoders import encoder
 
 #: Strings that mark structure in chat templates; texts never contain them unescaped.
@@ -73,7 +73,8 @@ def _turn_digest(role: str, text: str) -> bytes:
 def _paths(turns: DataFrame, vocabulary: str, loss_roles: tuple[str, ...]) -> DataFrame:
     """``conv_id, path, lengths, turns``: a conversation's turn digests, and its tokenised turns."""
     row = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("turns"))
+    lone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    whole = turns.groupBy("conv_id", lone.alias("lone")).agg(F.sort_array(F.collect_list(row)).alias("turns")).drop("lone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
@@ -154,13 +155,15 @@ def emit(turns: DataFrame, vocabulary: str, *, loss_roles: tuple[str, ...] = ("a
     tokens of it under the loss mask. ``node_starts``: all nodes of the conversation.
 
     Null roles and texts are empty ones. Turns are ordered by number, those of one number
-    (or none: first) by role and text; repeated rows are repeated turns. Rows without a
-    ``conv_id`` are one conversation. Equal conversations share all nodes. An empty table
+    (or none: first) by role and text; repeated rows are repeated turns. A row without a
+    ``conv_id`` is a conversation of one turn. Equal conversations share all nodes. An empty table
     gives no rows. Other columns aren't read. A single conversation is one row and so fits
     a task.
     """
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    ranged = range_buckets(_paths(rows, vocabulary, loss_roles), [F.col("path"), F.col("conv_id")], "paths")
+    paths = materialize(_paths(rows, vocabulary, loss_roles), "tokenised")  # ranges sample what they deal: not the tokeniser
+    ranged = range_buckets(paths, [F.col("path"), F.col("conv_id")], "paths", ranges=ranges_of(paths, 64 * F.size("lengths") + 4 * F.aggregate("lengths", F.lit(0), lambda s, x: s + x)))
+    discard(paths)
     seeds = ranged.sparkSession.sparkContext.broadcast(_summaries(ranged))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

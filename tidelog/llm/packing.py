@@ -2,8 +2,8 @@
 
 Each document's ids (with an end id) are cut at multiples of the sequence length. A
 whole-length piece fills a sequence by itself; what is left of a document is an item of
-first-fit decreasing. Items are dealt at random into groups of bounded expected size,
-and each group is packed by itself, with a tournament tree over the free space of its
+first-fit decreasing. Documents are dealt at random into groups of bounded expected size,
+and the items of each group are packed by themselves, with a tournament tree over the free space of its
 open sequences: the winner of a subtree is its largest free space, so the leftmost
 sequence that fits an item is found in logarithmic time.
 
@@ -14,11 +14,12 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,12 +70,13 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 def cut_pieces(docs: DataFrame, vocabulary: str, *, end_id: int, capacity: int, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of every document (:data:`PIECES`), at most ``capacity`` ids each.
 
-    ``group_key`` is pseudo-random for each piece: it depends on the place of the row in
-    the input as well as on its id, so repeated rows don't meet in one group.
+    ``group_key`` is pseudo-random for each document: a hash of seed, id and ids of its
+    text, so it doesn't depend on how the input is dealt. Rows that repeat both within a
+    task are numbered, so that they don't meet in one group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, row, part = encoder(vocabulary), 0, TaskContext.get().partitionId()
+        enc, seen = encoder(vocabulary), Counter()
         end = array("I", [end_id]).tobytes()
         step = 4 * capacity
         for batch in batches:
@@ -82,12 +84,13 @@ def cut_pieces(docs: DataFrame, vocabulary: str, *, end_id: int, capacity: int,
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = enc.encode(text.as_py() or "") + end
                 n = len(ids) // 4
+                same = xxhash.xxh3_64_intdigest(ids, seed=xxhash.xxh3_64_intdigest(b"%d" % doc if doc is not None else b"", seed=seed))
+                key = xxhash.xxh3_64_intdigest(b"%d" % seen[same], seed=same) >> 1
+                seen[same] += 1
                 for at in range(0, len(ids), step):
                     piece = ids[at : at + step]
-                    key = zlib.crc32(b"%d %d %d %d" % (seed, part, row, at)) << 31 ^ zlib.crc32(b"%d %d" % (at, row), seed & 0xFFFF)
                     for column, value in zip(out, (doc, at // 4, len(piece) // 4, zlib.crc32(piece), n, key)):
                         column.append(value)
-                row += 1
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "group_key"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, PIECES)

@@ -3,14 +3,15 @@
 1. Distinct pre-tokens of the corpus, with the number of their uses in it (summed up
    before the shuffle), and for each the number of its pieces: one table.
 2. Per-document pre-token frequencies join that table. The most used pre-tokens, at most
-   ``head`` of them and of at most 64 bytes each, make a table of bounded size that goes
-   to all tasks; they are also all keys that many documents share, so what is left to
-   join by shuffle has no hot key.
+   ``head`` of them and of at most 65 bytes each (longer ones by digest), make a table of
+   bounded size that goes to all tasks; they are also all keys that many documents share,
+   so what is left to join by shuffle has no hot key.
 3. Sums per row of the input. No ids are made.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,6 +26,13 @@ from .pieces import pieces
 HEAD_BYTES = 64
 
 
+def _key(name: str) -> str:
+    """The pre-token, or of a long one its digest (65 bytes, so it equals no pre-token that stands for itself)."""
+    if 4 * len(name) <= HEAD_BYTES or len(name.encode()) <= HEAD_BYTES:
+        return name
+    return "#" + hashlib.sha256(name.encode()).hexdigest()
+
+
 def distinct_pre_tokens(texts: DataFrame, vocabulary: str) -> DataFrame:
     """``(pre_token, uses, n_pieces)`` over a one-column table of texts."""
 
@@ -60,16 +68,17 @@ def most_used(table: DataFrame, most: int) -> dict[str, int]:
     no more than ``most`` rows come to the driver.
     """
     step = F.floor(F.log2("uses") * 8).alias("step")
-    short = table.where(F.octet_length("pre_token") <= HEAD_BYTES)
+    long = F.octet_length("pre_token") > HEAD_BYTES
     total, least = 0, None
-    for row in short.groupBy(step).count().orderBy(F.desc("step")).collect():
+    for row in table.groupBy(step).count().orderBy(F.desc("step")).collect():
         total += row["count"]
         if total > most:
             break
         least = row["step"]
     if least is None:
         return {}
-    return {r[0]: r[1] for r in short.where(step >= least).select("pre_token", "n_pieces").collect()}
+    key = F.when(long, F.concat(F.lit("#"), F.sha2(F.col("pre_token").cast("binary"), 256))).otherwise(F.col("pre_token"))
+    return {r[0]: r[1] for r in table.where(step >= least).select(key, "n_pieces").collect()}
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, *, limit: int = 4096, head: int = 262_144, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -77,7 +86,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, *, limit: int = 4096, head: i
 
     Counts equal those of the library for the whole text, without begin or end tokens.
     Null and empty texts count 0. Null ids and repeated rows are kept as they are. Other
-    columns aren't read. ``head`` bounds the pre-tokens that are sent to all tasks (64
+    columns aren't read. ``head`` bounds the pre-tokens that are sent to all tasks (65
     bytes each at most); a pre-token of any length or rarity is counted all the same.
     """
     spark = docs.sparkSession
@@ -100,7 +109,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, *, limit: int = 4096, head: i
                 text, uid, base = value.as_py() or "", part << 40 | row, 0
                 row += 1
                 for name, n in Counter(model.split(text)).items():
-                    if (found := pieces_of.get(name)) is not None:
+                    if (found := pieces_of.get(_key(name))) is not None:
                         base += n * found
                     else:
                         add(uid, False, name, None, None, n)
