@@ -1,0 +1,157 @@
+"""Registered queries against brute force over their whole (small) tables."""
+
+import numpy as np
+
+
+def test_op2_links_by_pair(spark, sf_dir):
+    """Every (query, class) pair within 10 per cent of the bits at some offset, over all offsets."""
+    from tidelog.llm.audio_chroma import fingerprints
+    from tidelog.llm.queries import _recordings, op2_audio_chroma
+
+    prints = fingerprints(_recordings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))).collect()
+    members: dict = {}
+    for r in prints:
+        members.setdefault(r.digest, []).append(r.rec_id)
+    codes = {min(members[r.digest]): np.array(r.codes) for r in prints if r.digest}
+    queries = [min(m) for m in members.values() if any(i % 100 == 0 for i in m)]
+
+    def errors(q, r, offset):
+        first = max(0, -offset)
+        n = min(len(r), len(q) - offset) - first
+        if n < max(1, 0.5 * min(len(q), len(r))):
+            return 1.0
+        return sum(int(x).bit_count() for x in q[first + offset : first + offset + n] ^ r[first : first + n]) / (32 * n)
+
+    want: dict = {}
+    for c, r in codes.items():
+        for q in queries:
+            if q != c:
+                best = min((errors(codes[q], r, k), abs(k), k) for k in range(-len(r) + 1, len(codes[q])))
+                if best[0] <= 0.10:
+                    want.setdefault(c, []).append((best[0], q, best[2]))
+    got = {r.rec_id: r for r in op2_audio_chroma(spark, sf_dir).collect()}
+    assert got.keys() == {r.rec_id for r in prints}
+    classes = {c: got[c] for c in codes}
+    assert all(got[i].class_id == min(m) and got[i].n_links == classes[min(m)].n_links for m in members.values() for i in m)
+    assert all(r.n_links <= len(want.get(c, [])) for c, r in classes.items())
+    found, true = sum(r.n_links for r in classes.values()), sum(map(len, want.values()))
+    assert true >= 2 * len(queries) and found >= 0.9 * true
+    for c, r in classes.items():
+        if r.n_links:
+            assert r.bit_errors == errors(codes[r.best_query], codes[c], r.best_offset)
+            if r.n_links == len(want[c]):
+                assert (r.bit_errors, r.best_query) == min(want[c])[:2]
+
+
+def test_pairs_at_exactly_80_per_cent_are_linked(spark):
+    """Two-word shingles, unions of 5 to 30: every pair is found, whatever its bands."""
+    from tidelog.llm.hyperminhash import near_duplicates
+
+    rows = []
+    for union in (5, 10, 15, 20, 30):
+        shared = union * 8 // 10
+        for k in range(400):
+            words = [f"u{union}k{k}w{i}" for i in range(shared + 1)]  # so many shingles, then each its own
+            own = [union - shared, 0] if k % 2 else [(union - shared + 1) // 2, (union - shared) // 2]
+            for side, n in enumerate(own):
+                rows.append((len(rows), " ".join([*words, *[f"u{union}k{k}s{side}x{i}" for i in range(n)]])))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2, percent=80).collect()
+    assert sum(r.component_id == r.doc_id - r.doc_id % 2 for r in got) == len(rows)
+
+
+def test_known_licences_are_found_however_they_are_wrapped(spark):
+    import textwrap
+
+    from tidelog.llm.license_digest import KNOWN, known_digests, scan
+
+    whole = {name: text for name, text in KNOWN if len(text) > 300}
+    rows = []
+    for width in range(40, 121, 5):
+        for name, text in whole.items():
+            body = "\n\n".join(textwrap.fill(x, width) for x in text.split("\n\n"))
+            rows += [(len(rows), name, body), (len(rows) + 1, name, "Copyright (c) 2020 A. Person\nCopyright 2021 by Others <a@b.c>\n\n" + body)]
+    df = spark.createDataFrame(rows, "doc_id long, name string, text string")
+    got = {r.doc_id: r.license_id for r in scan(df, known_digests(spark)).collect()}
+    assert got == {i: name for i, name, _ in rows}
+
+
+def test_op5_planted_licences(spark, sf_dir):
+    from tidelog.llm.queries import op5_license_digest
+
+    rows = {r.doc_id: r.license_id for r in op5_license_digest(spark, sf_dir).where("doc_id < 0").collect()}
+    assert rows == {-1: "MIT", -2: "ISC", -3: "0BSD"}
+
+
+def test_sql_of_queries(spark, sf_dir):
+    """The registered SQL of every operator that has some, on the smallest tables."""
+    import duckdb
+
+    from tidelog.llm.queries import oracle_sql, queries
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    for name, sql in oracle_sql().items():
+        df = queries()[name](spark, sf_dir)
+        columns = sorted(df.columns)
+        want = con.sql(sql)
+        assert sorted(want.columns) == columns, name
+        got = sorted(map(repr, (tuple(r[c] for c in columns) for r in df.collect())))
+        assert got == sorted(map(repr, want.select(*[f'"{c}"' for c in columns]).fetchall())), name
+
+
+def test_packing_does_not_depend_on_the_layout(spark, sf_dir):
+    import public_tokenizers
+
+    from tidelog.llm.packing import pack_documents
+
+    docs, path = spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json")
+    one = sorted(map(tuple, pack_documents(docs.coalesce(1), path, group_size=50).collect()))
+    assert one == sorted(map(tuple, pack_documents(docs.repartition(7), path, group_size=50).collect()))
+    groups: dict = {}
+    for r in one:
+        groups.setdefault(r[0], set()).add(r[5] >> 32)
+    assert all(len(g) == 1 for g in groups.values()) and len(set.union(*groups.values())) > 1
+
+
+def test_long_pre_tokens_that_many_share(spark):
+    import public_tokenizers
+    import sentencepiece
+
+    from tidelog.llm.token_counts import count_tokens, distinct_pre_tokens, most_used
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows = [(i, "x" * 300 + f" word{i % 5} " + "é" * 40) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    head = most_used(distinct_pre_tokens(df.select("text"), path), 10)
+    assert len(head) == 7 and max(len(k.encode()) for k in head) <= 65
+    for most in (10, 0):
+        assert {r.doc_id: r.n_tokens for r in count_tokens(df, path, head=most).collect()} == {i: len(model.encode(t)) for i, t in rows}
+
+
+def test_mix_by_given_counts(spark):
+    from pyspark.sql import functions as F
+
+    from tidelog.llm.mixing import mix
+
+    df = spark.createDataFrame([(i, "a" if i < 10 else "b", "text", i % 3 if i else None) for i in range(20)], "doc_id long, lang string, text string, n long")
+    got = mix(df, {"lang": F.col("lang")}, budget_share=(1, 2), weights={}, max_epochs=1, tokens=F.col("n")).collect()
+    assert sum(r.take_tokens for r in got) == sum(i % 3 for i in range(20)) // 2
+    assert all(r.n_tokens == r.doc_id % 3 > 0 for r in got)
+
+
+def test_op8_query_equals_brute_force(spark, sf_dir):
+    """Base columns and the verdict of every document, with the bands that the query sets."""
+    from tidelog.llm.fertility import SCRIPT_BANDS, accepted, clean_bands
+    from tidelog.llm.queries import op8_fertility, vocabulary
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    bands = clean_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), vocabulary("piece_bpe_32k.model"))
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    rows = op8_fertility(spark, sf_dir).collect()
+    assert {r.doc_id for r in rows} == lang.keys()
+    for r in rows:
+        band = bands.get((lang[r.doc_id], r.script)) or SCRIPT_BANDS[r.script]
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert r.kept == (not r.base_failed and accepted(band, r.n_tokens, r.chars_per_token, r.byte_share, r.token_entropy))

@@ -55,6 +55,7 @@ EQUIVALENT = (
     ("non commercial", "noncommercial"),
     ("per cent", "percent"),
     ("copyright owner", "copyright holder"),
+    ("all rights reserved", ""),
 )
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -88,15 +89,21 @@ KNOWN: tuple[tuple[str, str], ...] = (
 #: A known table of at most this many rows (under 100 bytes each) goes to all tasks; a larger one is joined by shuffle.
 BROADCAST_ROWS = 50_000
 
-#: A copyright line, and what stands between words.
-NOTICE = r"(?:^|\n)[ \t*#/;-]*(?:copyright|\(c\)|\x{00A9}|all rights reserved)[^\n]*"
+#: A copyright line, and what stands between words. A line that begins with
+#: "copyright" counts if a mark, a year or "by" follows; so wrapped prose does not.
+_LEAD, _MARK, _YEAR = r"[ \t*#/;-]*", r"(?:\(c\)|\x{00A9})", r"(?:19|20)[0-9]{2}"
+_OPENING = rf"(?:copyright[ \t:,]*(?:{_MARK}|{_YEAR}|[<\[{{(]?(?:year|yyyy|19yy|19xx)|by[ \t])|{_MARK}[ \t]*(?:copyright|{_YEAR}))"
+NOTICE = rf"(?:^|\n){_LEAD}{_OPENING}[^\n]*(?:\n{_LEAD}{_MARK}[^\n]*)*"
 PUNCTUATION = r"[\x{0000}-\x{002F}\x{003A}-\x{0040}\x{005B}-\x{0060}\x{007B}-\x{00BF}\x{2000}-\x{206F}]+"
-#: The lines that the query's SQL looks at; ``scan`` derives its own from the known table.
-NOTICE_LINE = "licen[cs]e|copyright|public domain|cc by|cc0"
 
 
 def canonical(text: Column) -> Column:
-    """The canonical form: words of letters and digits, one blank between them."""
+    """The canonical form: words of letters and digits, one blank between them.
+
+    Copyright lines, with the marked lines that follow them, are left out before lines are
+    joined; of one that is itself wrapped the first line goes. Apart from that the form
+    doesn't depend on where lines break.
+    """
     out = F.lower(text)
     out = F.regexp_replace(out, "\r\n?", "\n")
     out = F.regexp_replace(out, NOTICE, "\n")

@@ -8,10 +8,10 @@ title. Apache-2.0, GPL-2.0, GPL-3.0 and LGPL-2.1 also without the appendix after
 
 #: License, digest, marker.
 DIGESTS: tuple[tuple[str, str, str], ...] = (
-    ("Apache-2.0", "53e0ed4d19fa39aec590f68e3bacd991a7bfb6e7821b811484e74105d30a5bff", "appropriateness"),
-    ("Apache-2.0", "977d484c78fc9c9c9d6acb4e2b392831a143279e5de8f8b83af1c2a81067764f", "appropriateness"),
-    ("Apache-2.0", "fe41f390ab22d1130a26a2070e5743d4db3712f2aa6f9551c62d1c5ff91dfde7", "appropriateness"),
-    ("Artistic-1.0-Perl", "cc2cd6cccfacd5fb622fb0e9b9a373fa9dcb86a8c152213a2b856dfbe24fe304", "merchantibility"),
+    ("Apache-2.0", "0818416e55cf8492558c7bef669d279ad3d55c36c93d1f26cfc7bbf175d07c26", "appropriateness"),
+    ("Apache-2.0", "6fd0c54a297931a11c5e9c3d369524d9df1aa1964e9e93ca0c40f20a1d42503d", "appropriateness"),
+    ("Apache-2.0", "a1e4d583bb49dab27f66204c07e99e7991e0a84accca050cb1a3f897c0e0f51b", "appropriateness"),
+    ("Artistic-1.0-Perl", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702", "merchantibility"),
     ("BSD-2-Clause", "107f8ba0af742645bf7864695e36616fbcaa19b8c1ebb01f30fac7dd4011913a", "merchantability"),
     ("BSD-2-Clause", "23d7258e25bd67982ccec4b5bfc05631a20f8ee5bd5fe7eb70694c100aae88d2", "merchantability"),
     ("BSD-2-Clause", "447686a56472ea2e9713ca89034ee666e6646bd1a33eba38690cb875708663e2", "merchantability"),
@@ -30,21 +30,21 @@ DIGESTS: tuple[tuple[str, str, str], ...] = (
     ("BSD-3-Clause", "f94931e221f919e6cec5ca99e0ea7da1912b2c7d805cdaee8baf508c248bc1af", "merchantability"),
     ("BSL-1.0", "5fcf89bde8c0c2deb999f4cc626e1aebf90e80fdc5cd334dae008152ef4a1ded", "merchantability"),
     ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f", "implementations"),
-    ("GFDL-1.2", "e340fdbffa8aad1a91ad3d07603ae56e4f976876fde20a8f60ddc2324aaafbf2", "straightforwardly"),
-    ("GFDL-1.3", "24a1eee50a8a03726d0c9df2bda3fc0c810ea16c6cf6bffc69d49fd4c54a6e12", "straightforwardly"),
+    ("GFDL-1.2", "d0d142139ba117e0fbb63d29df37776bc9c765c015720dc0ed43bceea6416494", "straightforwardly"),
+    ("GFDL-1.3", "2cdb48855af1603586f28b20f0095e588a4bd77ee484d2c3b89bc3b1f0b61da5", "straightforwardly"),
     ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224", "responsibilities"),
-    ("GPL-2.0", "a1e7ba14d8d85807f384435b77f91e925decc43da128311c991c4f2337e44017", "responsibilities"),
-    ("GPL-2.0", "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1", "responsibilities"),
-    ("GPL-2.0", "e4d14510e41435c3eb12c255b72546a3cb9943f06f209c72bc30a19095b08999", "responsibilities"),
-    ("GPL-3.0", "3d4de016a08e1d98b27dec755cdf4530b92807d97aaa185b32e12d52942b1943", "misrepresentation"),
-    ("GPL-3.0", "3dcf77ad8c25248618918aaff1de8a2cb80cea6ca922ef4a7a389cca96a7560b", "misrepresentation"),
-    ("GPL-3.0", "72835a70e36b7216a23d7ad0423b16c131559708d367edec60d93ad91144bc26", "misrepresentation"),
-    ("LGPL-2.0", "9b0b3105b96203f9d9e4b72d4b77951152156c88139302b5aedf6295e3ceaaa3", "straightforwardly"),
-    ("LGPL-2.1", "963f79d48038eed98d8341c84d8d3b765e99508a738d00654c0112f70a7c370c", "straightforwardly"),
-    ("LGPL-2.1", "9bf9c99aeafbdbccd7456a00d574699e3deb41868375496cacbf170be719bebd", "straightforwardly"),
-    ("LGPL-2.1", "cb225061bb71741fe8b31a2092e22fe05b1130438158ae5d16c48fd50186e345", "straightforwardly"),
+    ("GPL-2.0", "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808", "responsibilities"),
+    ("GPL-2.0", "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34", "responsibilities"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821", "responsibilities"),
+    ("GPL-3.0", "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191", "misrepresentation"),
+    ("GPL-3.0", "24cd241e223e73eb1af195b9e4c0baf03a79bbbb39987eca0e347c1e490442aa", "misrepresentation"),
+    ("GPL-3.0", "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636", "misrepresentation"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908", "straightforwardly"),
+    ("LGPL-2.1", "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4", "straightforwardly"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891", "straightforwardly"),
+    ("LGPL-2.1", "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df", "straightforwardly"),
     ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be", "distinguishing"),
-    ("MPL-1.1", "c3754fa3290eda10675f5ccbdf2525e4717acc479d73ef03524ab7e393bab08c", "notwithstanding"),
-    ("MPL-2.0", "0a9e3d32a7f24bf01d16516a5abfba9b19d53f60aef0a720705e0580ea38d942", "responsibilities"),
+    ("MPL-1.1", "e4d7347f1855f056365c08ad8030307f5cda3d38c9658d4f4db9a7c0aaac6c53", "notwithstanding"),
+    ("MPL-2.0", "b59ad31436b35a95a00cff48e84c1f014339f59fac784c1935fc6f7dc34abf70", "responsibilities"),
     ("Unlicense", "248c77414369ce4b842760d0241cb8184f0805a4354f498a6fb7f7b027ee767e", "merchantability"),
 )

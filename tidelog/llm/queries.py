@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -68,7 +67,11 @@ def _op1_sql() -> str:
 
 
 def _recordings(embeddings: DataFrame) -> DataFrame:
-    """Two seconds of audio for each vector, made from its numbers: the media column that the test tables lack."""
+    """Two seconds of audio for each vector, made from its numbers: the media column that the test tables lack.
+
+    Of every tenth vector there are three more recordings, as copies of audio are met: the
+    same one, one that begins six hops later, and one with noise (ids -10 * id - 1, - 2, - 3).
+    """
     from .audio_chroma import HOP, wav_bytes
 
     rate = 8000
@@ -77,20 +80,25 @@ def _recordings(embeddings: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in range(0, batch.num_rows, 256):
-                rows, audio = batch.slice(part, 256), []
-                for vector in rows.column(1):
+                rows, ids, audio = batch.slice(part, 256), [], []
+                for vec_id, vector in zip(rows.column(0).to_pylist(), rows.column(1)):
                     v = np.nan_to_num(np.array(vector.as_py() or [], "f8"))
                     steps = (v / (np.abs(v).max() or 1.0)).reshape(-1)[: len(v) // 2 * 2].reshape(-1, 2)
                     notes = 220.0 * 2 ** (np.round((steps + 1) * 11.5) / 12)
-                    sound = np.sin(2 * np.pi * notes[:, :1] * t) + np.sin(2 * np.pi * notes[:, 1:] * t)
-                    audio.append(wav_bytes(0.4 * sound.ravel(), rate))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(audio, pa.binary())], ["rec_id", "audio"])
+                    sound = 0.4 * (np.sin(2 * np.pi * notes[:, :1] * t) + np.sin(2 * np.pi * notes[:, 1:] * t)).ravel()
+                    played = {vec_id: sound}
+                    if vec_id is not None and vec_id % 10 == 0:
+                        noise = np.random.default_rng(vec_id).normal(0, 0.003, len(sound))
+                        played |= {-10 * vec_id - 1: sound, -10 * vec_id - 2: sound[6 * HOP :], -10 * vec_id - 3: sound + noise}
+                    ids += played
+                    audio += [wav_bytes(x, rate) for x in played.values()]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(audio, pa.binary())], ["rec_id", "audio"])
 
     return embeddings.select(F.col("vec_id").cast("long").alias("rec_id"), "embedding").mapInArrow(run, "rec_id long, audio binary")
 
 
 def op2_audio_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector of ``embeddings``, played as a recording, aligned with the queries (ids divisible by 100)."""
+    """Every vector of ``embeddings``, played as a recording, and copies of some, aligned with the queries (ids divisible by 100)."""
     from .audio_chroma import align, fingerprints
 
     return align(fingerprints(_recordings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))))
@@ -182,32 +190,61 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts and lines of every document, looked up among known licences."""
+    """Whole texts and lines of every document, looked up among known licences.
+
+    The test tables hold no whole licence, so three follow the documents: known texts
+    under negative ids, wrapped, with a copyright line, or in other spellings.
+    """
     from .license_digest import known_digests, scan
 
-    out = scan(_documents(spark, sf_dir), known_digests(spark))
+    planted = spark.createDataFrame(_planted_licenses(), "doc_id long, text string")
+    out = scan(_documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), "text").unionByName(planted), known_digests(spark))
     return out.withColumn("notices", F.array_join("notices", ","))
 
 
+def _planted_licenses() -> list[tuple[int, str]]:
+    import textwrap
+
+    from .license_digest import KNOWN
+
+    first = {name: text for name, text in reversed(KNOWN) if len(text) > 300}
+    wrap = lambda text, width: "\n\n".join(textwrap.fill(x, width) for x in text.split("\n\n"))
+    return [
+        (-1, "Copyright (c) 2020 A. Person\n\n" + wrap(first["MIT"], 60)),
+        (-2, wrap(first["ISC"], 72).upper()),
+        (-3, wrap(first["0BSD"], 40).replace("software", "SOFTWARE") + "\n\nAll rights reserved."),
+    ]
+
+
 def _op5_sql() -> str:
-    from .license_digest import EQUIVALENT, KNOWN, NOTICE, NOTICE_LINE, PUNCTUATION, _spaced
+    """Word lists instead of rewritten texts; of the operator only its data (known texts, spellings) are used."""
+    from .license_digest import EQUIVALENT, KNOWN
+    from .license_texts import DIGESTS
 
     quote = lambda x: "'" + x.replace("'", "''") + "'"
-
-    def digest(x: str) -> str:
-        out = f"regexp_replace(regexp_replace(lower({x}), '\\r\\n?', chr(10), 'g'), {quote(NOTICE)}, chr(10), 'g')"
-        out = f"regexp_replace(replace(regexp_replace({out}, 'https?://', ' ', 'g'), '&', ' and '), {quote(PUNCTUATION)}, '  ', 'g')"
-        out = f"'  ' || {out} || '  '"
-        for old, new in EQUIVALENT:
-            out = f"replace({out}, {quote(_spaced(old))}, {quote(_spaced(new))})"
+    spelled = {a: b for a, b in EQUIVALENT if " " not in a}
+    phrases = [(a, b) for a, b in EQUIVALENT if " " in a]
+
+    def form(x: str) -> str:
+        lines = f"string_split(replace(replace(lower({x}), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10))"
+        head = "'^[ \\t*#/;-]*(copyright[ \\t:,]*(\\(c\\)|©|(19|20)[0-9][0-9]|[<\\[{(]?(year|yyyy|19yy|19xx)|by[ \\t])|(\\(c\\)|©)[ \\t]*(copyright|(19|20)[0-9][0-9]))'"
+        text = f"array_to_string(list_filter({lines}, lambda l: NOT regexp_matches(l, {head})), chr(10))"
+        words = f"regexp_extract_all(replace(regexp_replace({text}, 'https?://', ' ', 'g'), '&', ' and '), '[0-9A-Za-z\\x{{C0}}-\\x{{1FFF}}\\x{{2070}}-\\x{{10FFFF}}]+')"
+        out = f"' ' || array_to_string(list_transform({words}, lambda w: coalesce(MAP {{{', '.join(f'{quote(a)}: {quote(b)}' for a, b in spelled.items())}}}[w], w)), ' ') || ' '"
+        for a, b in phrases:
+            out = f"replace({out}, ' {a} ', ' {b} ')"
         return f"nullif(trim(regexp_replace({out}, ' +', ' ', 'g')), '')"
 
     known = ", ".join(f"({quote(a)}, {quote(b)})" for a, b in KNOWN)
+    more = ", ".join(f"({quote(a)}, {quote(b)})" for a, b, _ in DIGESTS)
+    planted = ", ".join(f"({i}, {quote(t)})" for i, t in _planted_licenses())
     return f"""
-    WITH known AS (SELECT sha256({digest('text')}) AS digest, min(name) AS license_id FROM (VALUES {known}) t(name, text) GROUP BY 1),
-    d AS (SELECT doc_id, sha256({digest("coalesce(text, '')")}) AS digest FROM documents),
-    l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
-    m AS (SELECT doc_id, sha256({digest('line')}) AS digest FROM l WHERE length(line) <= 400 AND regexp_matches(lower(line), {quote(NOTICE_LINE)})),
+    WITH known AS (
+      SELECT digest, min(name) AS license_id FROM (SELECT name, sha256({form('text')}) AS digest FROM (VALUES {known}) t(name, text) UNION ALL SELECT * FROM (VALUES {more}) m(name, digest)) GROUP BY 1),
+    every AS (SELECT doc_id, coalesce(text, '') AS text FROM documents UNION ALL SELECT * FROM (VALUES {planted}) p(doc_id, text)),
+    d AS (SELECT doc_id, sha256({form('text')}) AS digest FROM every),
+    l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM every),
+    m AS (SELECT doc_id, sha256({form('line')}) AS digest FROM l),
     n AS (SELECT doc_id, count(*) AS n_notices, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices FROM m JOIN known USING (digest) GROUP BY doc_id)
     SELECT d.doc_id, d.digest, k.license_id, coalesce(n.n_notices, 0) AS n_notices, coalesce(n.notices, '') AS notices
     FROM d LEFT JOIN known k ON d.digest = k.digest LEFT JOIN n ON d.doc_id = n.doc_id
@@ -252,10 +289,10 @@ def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .common import shared_dir
+    from .common import scratch
     from .direct_codes import read_documents, write_ids
 
-    path = f"{shared_dir(spark)}/tidelog-ids-{uuid.uuid4().hex}"
+    path = scratch(spark, "ids")
     write_ids(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), path, end_id=2)
     return read_documents(spark, path)
 
