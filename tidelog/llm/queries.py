@@ -88,7 +88,7 @@ def _recordings(embeddings: DataFrame) -> DataFrame:
                     sound = 0.4 * (np.sin(2 * np.pi * notes[:, :1] * t) + np.sin(2 * np.pi * notes[:, 1:] * t)).ravel()
                     played = {vec_id: sound}
                     if vec_id is not None and vec_id % 10 == 0:
-                        noise = np.random.default_rng(vec_id).normal(0, 0.003, len(sound))
+                        noise = np.random.default_rng(vec_id).normal(0, 0.1, len(sound))
                         played |= {-10 * vec_id - 1: sound, -10 * vec_id - 2: sound[6 * HOP :], -10 * vec_id - 3: sound + noise}
                     ids += played
                     audio += [wav_bytes(x, rate) for x in played.values()]
@@ -322,13 +322,15 @@ def _op10_sql() -> str:
     case = lambda level: "CASE " + level + " " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS[level].items()) + " ELSE 1 END"
 
     def fill(name: str, source: str, parents: list[str], level: str) -> str:
+        """A child is full if its family, filled up to the level at which it is, has taken no more than was given."""
         by = ("PARTITION BY " + ", ".join(parents) + " ") if parents else ""
         keys = ", ".join([*parents, level])
+        kin = " AND ".join(f"o.{p} = s.{p}" for p in parents) or "true"
         before = f"OVER ({by}ORDER BY CAST(cap AS DOUBLE) / CAST(w AS DOUBLE), {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
         family = f"OVER ({by})"
         return f"""
-        {name}_a AS (SELECT *, coalesce(sum(cap) {before}, 0) AS cap_before, sum(w) {family} - coalesce(sum(w) {before}, 0) AS w_left FROM ({source}) s),
-        {name}_b AS (SELECT *, CAST(cap AS HUGEINT) * w_left <= CAST(w AS HUGEINT) * greatest(given - cap_before, 0) AS is_full FROM {name}_a),
+        {name}_a AS ({source}),
+        {name}_b AS (SELECT s.*, (SELECT sum(least(CAST(o.cap AS HUGEINT) * s.w, CAST(o.w AS HUGEINT) * s.cap)) FROM {name}_a o WHERE {kin}) <= CAST(s.given AS HUGEINT) * s.w AS is_full FROM {name}_a s),
         {name}_c AS (SELECT *, CAST(given - coalesce(sum(cap) FILTER (WHERE is_full) {family}, 0) AS HUGEINT) AS rest, greatest(coalesce(sum(w) FILTER (WHERE NOT is_full) {family}, 0), 1) AS rest_w,
           coalesce(sum(w) FILTER (WHERE NOT is_full) {before}, 0) AS rest_before FROM {name}_b),
         {name} AS (SELECT {keys}, cap, CASE WHEN is_full THEN cap ELSE least(cap, CAST(rest * (rest_before + w) // rest_w - rest * rest_before // rest_w AS BIGINT)) END AS given FROM {name}_c)"""
