@@ -99,7 +99,7 @@ def multi_frame_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = frame(*[F.col(c) for c in ("msg", "lsn", "xid", "ct", "table_schema", "table_name")])
     body = F.sort_array(F.collect_list(F.struct("seq", one.alias("f"))))
     chunks = f.groupBy(F.expr("seq div 4").alias("seq")).agg(body.alias("parts"))
-    joined = F.aggregate("parts", F.unhex(F.lit("")), lambda s, x: F.concat(s, x["f"]))
+    joined = F.unhex(F.array_join(F.transform("parts", lambda x: F.hex(x["f"])), ""))
     parsed = records(parse_chunks(chunks.select("seq", joined.alias("chunk"))))
     # The place of a record in its chunk counts records only; its own number follows from its position.
     return parsed.select(F.col("seq").alias("chunk_id"), F.expr("cast((lsn - 24) / 16777216 as long)").alias("seq"), "oid")

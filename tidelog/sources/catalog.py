@@ -36,12 +36,6 @@ def create_slot_sql(slot: str) -> str:
     return f"SELECT pg_create_logical_replication_slot('{quoted}', 'pgoutput')"
 
 
-def latest_changes_sql(slot: str, limit: int) -> str:
-    """SQL that peeks at the next changes of a slot."""
-    quoted = slot.replace("'", "''")
-    return f"SELECT lsn, xid, data FROM pg_logical_slot_peek_binary_changes('{quoted}', NULL, {int(limit)})"
-
-
 def single_consumer(queries: DataFrame) -> DataFrame:
     """Slots named by more than one consumer (``slot_name``): a slot allows one."""
     return queries.groupBy("slot_name").agg(F.count("*").alias("consumers")).where(F.col("consumers") > 1)
