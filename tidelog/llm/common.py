@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +87,24 @@ def range_buckets(df: DataFrame, keys: list[Column], tag: str, name: str = "buck
     return materialize(ranged, tag)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, which gives the memory of its batches and caches back when a task ends.
+
+    Spark uses a Python worker again for later tasks and stages; without this it keeps the
+    largest size that it ever had.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return tidied
+
+
 class TwoGenerations(dict):
     """A cache of bounded size: when full, only what was used lately survives.
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import discard, materialize, tidy
 from .components import components
 
 MANTISSA = 10
@@ -152,7 +152,7 @@ def signatures(docs: DataFrame, *, shingle_words: int, buckets: int) -> DataFram
                 sigs.append(registers(found, buckets).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "digest", "sig"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sig binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, n_shingles long, digest binary, sig binary")
 
 
 def _surrogate(digest: str = "digest"):
@@ -216,13 +216,15 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle_words)
         for batch in batches:
-            sets = [shingler.shingles(t.as_py() or "").view("i8") for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["class_id", "shingles"])
+            for part in range(0, batch.num_rows, 1000):
+                some = batch.slice(part, 1000)
+                sets = [shingler.shingles(t.as_py() or "").view("i8") for t in some.column(1)]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.list_(pa.int64()))], ["class_id", "shingles"])
 
     # An inner join (the ids are distinct): a semi-join would be moved before the filter.
     wanted = ids.select(F.col("class_id").alias("doc_id"))
     chosen = _may_contain(docs, wanted).join(wanted, "doc_id")
-    return chosen.mapInArrow(run, "class_id long, shingles array<long>")
+    return chosen.mapInArrow(tidy(run), "class_id long, shingles array<long>")
 
 
 def _able_pairs(docs: DataFrame, members: DataFrame, shingle_words: int, percent: int) -> DataFrame:
