@@ -50,6 +50,11 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(first_frame(_chunks(spark, sf_dir)))
 
 
+def _batched(records: DataFrame, *columns: str) -> DataFrame:
+    """Batches of records with what is needed of them: all that is kept is sorted and goes through Python."""
+    return with_batches(records.select("seq", "idx", "operation", *columns))
+
+
 def _long(name: str) -> Column:
     return F.col(name).cast("long").alias(name)
 
@@ -123,15 +128,15 @@ def payload_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_counts(with_batches(_records(spark, sf_dir)), "batch_id")
+    return group_counts(_batched(_records(spark, sf_dir), "table_schema", "table_name"), "batch_id")
 
 
 def batch_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_summary(with_batches(_records(spark, sf_dir))).select("batch_id", "n", _long("last_lsn"))
+    return batch_summary(_batched(_records(spark, sf_dir), "lsn")).select("batch_id", "n", _long("last_lsn"))
 
 
 def checkpoint_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_position(with_batches(_records(spark, sf_dir)), DEFAULT_SLOT)
+    return latest_position(_batched(_records(spark, sf_dir), "lsn"), DEFAULT_SLOT)
 
 
 def lsn_as_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +154,7 @@ def slot_exists_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All counters from one pass over the parsed chunks."""
     chunks = _chunks(spark, sf_dir).select("seq", "chunk", F.octet_length("chunk").alias("size"))
-    batched = with_batches(parse_chunks(chunks, keep=["size"], outcomes=True))
+    batched = _batched(parse_chunks(chunks, keep=["size"], outcomes=True), "size", "table_schema", "table_name")
     is_record = F.col("operation").isNotNull()
     return batched.agg(
         F.sum(F.when(_first_row(), F.col("size"))).alias("bytes_received"),
@@ -213,7 +218,7 @@ def wide_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def last_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions that don't rise with arrival: the last record of a batch counts, not the largest."""
     parsed = records(first_frame(_frames(spark, sf_dir, lsn=F.col("seq") * 7919 % 10007)))
-    return batch_summary(with_batches(parsed)).select("batch_id", "n", _long("last_lsn"))
+    return batch_summary(_batched(parsed, "lsn")).select("batch_id", "n", _long("last_lsn"))
 
 
 def batch_overshoot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +228,7 @@ def batch_overshoot(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = frame(F.lit("I"), *[F.col(c) for c in ("lsn", "xid", "ct", "table_schema", "table_name")])
     parts = f.groupBy((F.expr("5 * (seq div 231)") + at).alias("chunk_id")).agg(F.sort_array(F.collect_list(F.struct("seq", one.alias("f")))).alias("parts"))
     chunks = parts.select(F.col("chunk_id").alias("seq"), F.unhex(F.array_join(F.transform("parts", lambda x: F.hex(x["f"])), "")).alias("chunk"))
-    batched = with_batches(records(parse_chunks(chunks)))
+    batched = _batched(records(parse_chunks(chunks)))
     return batched.groupBy(F.col("seq").alias("chunk_id"), "batch_id").agg(F.count("*").alias("n"))
 
 
