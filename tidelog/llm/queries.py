@@ -69,8 +69,9 @@ def _op1_sql() -> str:
 def _recordings(embeddings: DataFrame) -> DataFrame:
     """Two seconds of audio for each vector, made from its numbers: the media column that the test tables lack.
 
-    Of every tenth vector there are three more recordings, as copies of audio are met: the
-    same one, one that begins six hops later, and one with noise (ids -10 * id - 1, - 2, - 3).
+    Of every query (ids divisible by 100) there are three more recordings, as copies of audio
+    are met: the same one, one that begins six hops later, and one with noise (ids
+    -10 * id - 1, - 2, - 3).
     """
     from .audio_chroma import HOP, wav_bytes
 
@@ -87,7 +88,7 @@ def _recordings(embeddings: DataFrame) -> DataFrame:
                     notes = 220.0 * 2 ** (np.round((steps + 1) * 11.5) / 12)
                     sound = 0.4 * (np.sin(2 * np.pi * notes[:, :1] * t) + np.sin(2 * np.pi * notes[:, 1:] * t)).ravel()
                     played = {vec_id: sound}
-                    if vec_id is not None and vec_id % 10 == 0:
+                    if vec_id is not None and vec_id % 100 == 0:
                         noise = np.random.default_rng(vec_id).normal(0, 0.1, len(sound))
                         played |= {-10 * vec_id - 1: sound, -10 * vec_id - 2: sound[6 * HOP :], -10 * vec_id - 3: sound + noise}
                     ids += played
