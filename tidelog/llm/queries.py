@@ -354,10 +354,76 @@ def _op10_sql() -> str:
     """
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every two sources of a language, and the terms that each source overuses."""
+    from .source_divergence import audit
+
+    return audit(_documents(spark, sf_dir), min_docs=10, ranks=10)
+
+
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+w AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+dense AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN kept k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (
+  SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p FROM dense JOIN size USING (lang)),
+q AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q FROM (SELECT lang, term, sum(n) AS n FROM dense GROUP BY ALL) JOIN size USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM both_parts)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def op12_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document, learnt from pairs of the documents in ``labels`` that are not held out."""
+    from .pairwise_quality import score, train
+
+    docs = _documents(spark, sf_dir)
+    return score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every item of ``benchmark`` the 50 documents that rank highest among all."""
+    from .lexical_search import search
+
+    return search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), top=50)
+
+
+OP13_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+s AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS docs, CAST(sum(len(terms)) AS BIGINT) AS len FROM d),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+u AS (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d),
+t AS (SELECT r, doc_id, n, term, count(*) AS tf FROM u SEMI JOIN q USING (term) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM t, s GROUP BY term),
+x AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * (1000000000 * tf // (1000 * tf + 20 * (100 - 50 + 50 * n * docs // len)))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN w USING (term), s GROUP BY ALL),
+k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM x WHERE score > 0)
+SELECT * FROM k WHERE rank <= 50
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_chat_prefix_tree, op2_audio_chroma, op3_warc_revisit, op4_packing, op5_license_digest, op6_token_counts, op7_hyperminhash, op8_fertility, op9_direct_codes, op10_mixing)
+    named = (op1_chat_prefix_tree, op2_audio_chroma, op3_warc_revisit, op4_packing, op5_license_digest, op6_token_counts, op7_hyperminhash, op8_fertility, op9_direct_codes, op10_mixing, op11_source_divergence, op12_pairwise_quality, op13_lexical_search)
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_prefix_tree": _op1_sql(), "op3_warc_revisit": OP3_SQL, "op5_license_digest": _op5_sql(), "op7_hyperminhash": OP7_SQL, "op10_mixing": _op10_sql()}
+    return {"op1_chat_prefix_tree": _op1_sql(), "op3_warc_revisit": OP3_SQL, "op5_license_digest": _op5_sql(), "op7_hyperminhash": OP7_SQL, "op10_mixing": _op10_sql(), "op11_source_divergence": OP11_SQL, "op13_lexical_search": OP13_SQL}
