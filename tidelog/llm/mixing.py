@@ -107,8 +107,9 @@ def mix(
     ``n_tokens``.
 
     Nulls in a level are the level ''. Null and empty texts, or null counts, have no tokens
-    and are never selected. Null ids are ordered first; repeated rows are selected each for itself. An
-    empty table gives no rows. Columns that clash with names used here aren't read unless
+    and are never selected. The order hashes a row's id and text, so rows without an id, or
+    of one id, are drawn by their texts; rows equal in both stand together in it, and each is
+    selected for itself. An empty table gives no rows. Columns that clash with names used here aren't read unless
     named in ``keep``.
     """
     spark = docs.sparkSession
@@ -117,9 +118,10 @@ def mix(
         tokens = F.ceil(F.octet_length(F.col(text_col).cast("string")) / 4)
     tokens = F.coalesce(tokens, F.lit(0)).cast("long")
     kept = [F.col(c).alias(f"kept_{c}") for c in keep]
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()], tokens.alias("n_tokens"), *kept)
+    digest = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")) if text_col in docs.columns else F.lit("")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()], tokens.alias("n_tokens"), digest.alias("text_digest"), *kept)
     rows = rows.where(F.col("n_tokens") > 0)
-    plain = rows.select("doc_id", *names, "n_tokens")
+    plain = rows.select("doc_id", *names, "n_tokens", "text_digest")
     leaves = plain.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs"))
     size = leaves.agg(F.count("*").alias("leaves"), F.sum("tokens").alias("tokens"), F.sum("n_docs").alias("docs")).first()
     if budget is None:
@@ -133,7 +135,7 @@ def mix(
 
     def placed(df: DataFrame) -> DataFrame:
         """The order within the leaf's partial epoch, and the slice of that order."""
-        order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+        order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text_digest")).cast("binary"))
         df = df.join(given, names).withColumn("order_key", order)
         return df.withColumn("slice", F.expr(f"cast(conv(substring(order_key, 1, 8), 16, 10) as long) * {slices} div 4294967296"))
 

@@ -339,7 +339,7 @@ def _op10_sql() -> str:
     return f"""
     WITH d AS (
       SELECT doc_id, 'domain' || coalesce(try_cast(regexp_extract(source, '([0-9]+)', 1) AS INTEGER) % 3, 0) AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-        (coalesce(strlen(text), 0) + 3) // 4 AS n_tokens FROM documents),
+        (coalesce(strlen(text), 0) + 3) // 4 AS n_tokens, md5(coalesce(text, '')) AS digest FROM documents),
     t AS (SELECT * FROM d WHERE n_tokens > 0),
     leaf AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(2 * sum(n_tokens) AS BIGINT) AS cap FROM t GROUP BY ALL),
     total AS (SELECT CAST(sum(tokens) AS BIGINT) * 6 // 10 AS budget, CAST(sum(cap) AS BIGINT) AS cap FROM leaf),
@@ -347,7 +347,7 @@ def _op10_sql() -> str:
     {fill("two", f"SELECT x.*, {case('lang')} AS w, one.given FROM (SELECT domain, lang, CAST(sum(cap) AS BIGINT) AS cap FROM leaf GROUP BY ALL) x JOIN one USING (domain)", ["domain"], "lang")},
     {fill("three", f"SELECT x.*, {case('source')} AS w, two.given FROM (SELECT domain, lang, source, cap FROM leaf) x JOIN two USING (domain, lang)", ["domain", "lang"], "source")},
     g AS (SELECT domain, lang, source, given // tokens AS whole, given % tokens AS part FROM three JOIN leaf USING (domain, lang, source)),
-    o AS (SELECT t.*, whole, part, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('17:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM t JOIN g USING (domain, lang, source))
+    o AS (SELECT t.*, whole, part, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('17:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || digest), doc_id, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM t JOIN g USING (domain, lang, source))
     SELECT doc_id, domain, lang, source, e AS epoch, n_tokens, n_tokens AS take_tokens FROM (SELECT *, unnest(range(0, whole)) AS e FROM o)
     UNION ALL
     SELECT doc_id, domain, lang, source, whole AS epoch, n_tokens, CAST(least(n_tokens, part - before) AS BIGINT) AS take_tokens FROM o WHERE before < part

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are cut at a time; a longer text is a part by itself.
-PART_BYTES = 16 << 20
+PART_BYTES = 6 << 20
 
 
 def alphabet(*, digits: bool) -> np.ndarray:
