@@ -72,6 +72,19 @@ class KafkaConfig:
         return out | ({"kafka.compression.type": self.compression} if self.compression else {})
 
 
+    def producer(self) -> dict[str, str]:
+        """Options of the producer sink: the same settings under the names of its client library."""
+        out = {
+            "kafka.bootstrap.servers": self.brokers,
+            "kafka.acks": self.acks,
+            "kafka.linger.ms": str(self.linger_ms),
+            "kafka.batch.size": str(self.batch_size),
+            "kafka.api.version.request": "true",
+            "kafka.socket.timeout.ms": str(SEND_TIMEOUT_MS),
+        }
+        return out | ({"kafka.compression.type": self.compression} if self.compression else {})
+
+
 @dataclass(frozen=True)
 class ReplicationConfig:
     batch_size: int = BATCH_SIZE

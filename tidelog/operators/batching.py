@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import BATCH_SIZE
-from ..session import checkpointed
+from ..session import checkpointed, ranges_of
 
 
 def close_batches(counts: np.ndarray, size: int, open_now: int = 0, batch: int = 0) -> tuple[np.ndarray, int, int]:
@@ -71,9 +71,9 @@ class _Runs:
 
 def _numbered(rows: DataFrame, weight: Column, size: int) -> DataFrame:
     """``rows`` (``seq`` and others) with ``batch_id``, where ``weight`` is the number of records a row stands for."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [c for c in ("seq", "idx") if c in rows.columns]
-    ranged = rows.withColumn("_weight", weight.cast("long")).repartitionByRange(n, "seq").sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    weighted = rows.withColumn("_weight", weight.cast("long"))
+    ranged = weighted.repartitionByRange(ranges_of(weighted), "seq").sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
     ranged = checkpointed(ranged)
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +105,9 @@ def _numbered(rows: DataFrame, weight: Column, size: int) -> DataFrame:
 
     kept = rows.columns
     schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType())])
-    return ranged.select("seq", "_weight", "_part", *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(kept)]).mapInArrow(number, schema)
+    out = ranged.select("seq", "_weight", "_part", *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(kept)]).mapInArrow(number, schema)
+    out._tidelog_left = ranged._tidelog_left
+    return out
 
 
 def assign_batches(counts: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
@@ -117,7 +119,7 @@ def assign_batches(counts: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
 
 
 def with_batches(records: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
-    """Records with their ``batch_id``; rows that are none (a parse with outcomes) count nothing and go along.
+    """Records with their ``batch_id`` (``session.discard`` removes what they are read from); rows that are none (a parse with outcomes) count nothing and go along.
 
     Chunks without records close no batch, so they needn't be there.
     """

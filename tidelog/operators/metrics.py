@@ -12,10 +12,10 @@ def chunk_counters() -> list[Column]:
 
 def parsed_counters() -> list[Column]:
     """Records parsed, chunks in error, and the position of the last record by arrival."""
-    good = F.col("error").isNull()
+    good = F.col("operation").isNotNull()
     return [
         F.count_if(good).alias("records_parsed"),
-        F.count_if(~good).alias("parse_errors"),
+        F.count_if(F.col("error").isNotNull()).alias("parse_errors"),
         F.max_by(F.when(good, F.col("lsn")), F.when(good, F.struct("seq", "idx"))).alias("last_lsn"),
     ]
 

@@ -121,16 +121,18 @@ def _texts(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
     return pa.array([x.decode("utf-8", "replace") for x in out.view(pa.binary()).to_pylist()], pa.string())
 
 
-def parse_chunks(chunks: DataFrame, *, keep: Sequence[str] = (), outcomes: bool = False) -> DataFrame:
+def parse_chunks(chunks: DataFrame, *, keep: Sequence[str] = (), outcomes: bool = False, voided: bool = False) -> DataFrame:
     """Parse ``seq, chunk``, any number of frames each, into :data:`~tidelog.schema.PARSED`.
 
     A null chunk is one without bytes. ``keep``: columns of ``chunks`` that each row takes
     along. ``outcomes``: a chunk with neither records nor an error has a row as well, with
     nothing but its ``seq`` (and what is kept), so that every chunk can be counted from the
-    result alone. Works on streams as well; no shuffle.
+    result alone. ``voided``: rows with an error have the bytes of their chunk as ``chunk``.
+    Works on streams as well; no shuffle.
     """
     rows = chunks.select("seq", "chunk", *keep)
-    schema = T.StructType(PARSED.fields + rows.schema.fields[2:])
+    bytes_too = [T.StructField("chunk", T.BinaryType())] if voided else []
+    schema = T.StructType(PARSED.fields + bytes_too + rows.schema.fields[2:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,6 +149,7 @@ def parse_chunks(chunks: DataFrame, *, keep: Sequence[str] = (), outcomes: bool
             yield from _rows(batch, owner, [
                 pa.array(place, pa.int32()), _exact(_numbers(data, at + 1, 8, "u")), _texts(data, at + HEADER_BYTES, first), _texts(data, first + 1, second),
                 pa.array(_NAMES[data[at]], pa.string()), pa.array(oid), tuples, tuples, pa.array(_numbers(data, at + 17, 8, "i")), _exact(_numbers(data, at + 9, 8, "u")), pa.nulls(n, pa.string()),
+                *[pa.nulls(n, pa.binary()) for _ in bytes_too],
             ])
             alone = error != 0
             if outcomes:
@@ -154,7 +157,8 @@ def parse_chunks(chunks: DataFrame, *, keep: Sequence[str] = (), outcomes: bool
             owner = np.flatnonzero(alone)
             said = [_ERRORS[e] for e in error[owner].tolist()]
             nulls = [pa.nulls(len(owner), f.type) for f in list(_KINDS)[1:-1]]
-            yield from _rows(batch, owner, [pa.array([None if e is None else 0 for e in said], pa.int32()), *nulls, pa.array(said, pa.string())])
+            raw = [pa.array([None if e is None else chunk[i].as_py() for i, e in zip(owner.tolist(), said)], pa.binary()) for _ in bytes_too]
+            yield from _rows(batch, owner, [pa.array([None if e is None else 0 for e in said], pa.int32()), *nulls, pa.array(said, pa.string()), *raw])
 
     def _rows(batch: pa.RecordBatch, owner: np.ndarray, columns: list[pa.Array]) -> Iterator[pa.RecordBatch]:
         if len(owner):

@@ -1,32 +1,51 @@
-"""A streaming source of chunks, ``tidelog_chunks``.
-
-It replays recorded slots: a folder of segment files named by the sequence number of
-their first chunk (``00000000000000000000.chunks``), each a run of chunks with a 4-byte
-big-endian length before each. A position is a sequence number. Segments are only ever added, so offsets replay exactly. Segments are
-listed from their names alone; each partition reads part of the range on an executor, so
-the folder must be one that all executors share. A subclass reads a live server.
+"""A source of recorded slots, ``tidelog_chunks``: a folder of segment files.
+
+A segment is a run of chunks with a 4-byte big-endian length before each. Its name is its
+index: the number of its first chunk, how many it has, and the least and largest position
+of their records (``<first>-<count>-<least>-<largest>.chunks``, the last two ``-`` without
+a record). So what lies where is known from a listing, and a segment that can't hold what
+is asked for is never opened. Segments are only ever added, so offsets replay exactly. Each
+part of a range is read on an executor; the folder must be one that all of them share.
+
+Batch reads push filters on ``seq`` and, with the option ``positions``, on ``last_position``
+(the largest position in a chunk) down to the names. Streams start at ``startSeq``, or at
+``startingPosition``: after the last chunk that holds this position, or where none does,
+at the first chunk that goes beyond it. Either way no chunk is left out that came later.
 """
 
 from __future__ import annotations
 
 import os
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from decimal import Decimal
 
+import numpy as np
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.types import StructField, StructType
 
-from ..schema import CHUNK
+from ..operators.parse import find_frames
+from ..schema import CHUNK, U64
 
 SUFFIX = ".chunks"
+#: Filters reach the reader with this setting of the session.
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
+def record_positions(chunk: bytes) -> list[int]:
+    """Positions of the records in a chunk."""
+    frames, _, _ = find_frames(np.frombuffer(chunk, "u1"), np.array([0]), np.array([len(chunk)]))
+    return [int.from_bytes(chunk[at + 1 : at + 9], "big") for at in frames[:, 1].tolist()]
 
 
 def write_segment(folder: str, first_seq: int, chunks: list[bytes]) -> str:
     """Record chunks as one segment, complete at once under its name."""
     os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, f"{first_seq:020d}{SUFFIX}")
+    found = [p for chunk in chunks for p in record_positions(chunk)]
+    least, largest = (f"{min(found):016x}", f"{max(found):016x}") if found else ("", "")
+    path = os.path.join(folder, f"{first_seq:020d}-{len(chunks):010d}-{least}-{largest}{SUFFIX}")
     with open(f"{path}.part", "wb") as f:
         for chunk in chunks:
             f.write(struct.pack(">I", len(chunk)) + chunk)
@@ -44,14 +63,25 @@ def read_segment(path: str) -> Iterator[bytes]:
             yield body
 
 
-def segment_size(path: str) -> int:
-    """Number of chunks, from their lengths alone."""
-    n, end = 0, os.path.getsize(path)
-    with open(path, "rb") as f:
-        while f.tell() < end:
-            f.seek(struct.unpack(">I", f.read(4))[0], os.SEEK_CUR)
-            n += 1
-    return n
+@dataclass(frozen=True)
+class Segment:
+    """What the name of a segment says; ``least`` and ``largest`` are None without a record."""
+
+    path: str
+    first: int
+    count: int
+    least: int | None
+    largest: int | None
+
+    @classmethod
+    def of(cls, folder: str, name: str) -> Segment:
+        first, count, least, largest = name.removesuffix(SUFFIX).split("-")
+        number = lambda x: int(x, 16) if x else None
+        return cls(os.path.join(folder, name), int(first), int(count), number(least), number(largest))
+
+    @property
+    def end(self) -> int:
+        return self.first + self.count
 
 
 @dataclass
@@ -67,25 +97,38 @@ class _Segments:
         self.folder = options["path"]
         self.start_seq = int(options.get("startseq", 0))
         self.limit = int(options.get("maxchunksperread", 0))
-        self.sizes: dict[str, int] = {}
+        self.position = options.get("startingposition")
 
-    def segments(self) -> list[tuple[int, str]]:
+    def segments(self) -> list[Segment]:
         names = sorted(x for x in os.listdir(self.folder) if x.endswith(SUFFIX)) if os.path.isdir(self.folder) else []
-        return [(int(x.removesuffix(SUFFIX)), os.path.join(self.folder, x)) for x in names]
+        return [Segment.of(self.folder, x) for x in names]
 
-    def end(self) -> int:
-        found = self.segments()
-        if not found:
+    def first(self) -> int:
+        """Where a stream starts."""
+        if self.position is None:
             return self.start_seq
-        first, path = found[-1]
-        if path not in self.sizes:
-            self.sizes = {path: segment_size(path)}
-        return max(self.start_seq, first + self.sizes[path])
+        high, low = self.position.split("/")
+        return max(self.start_seq, self._after(int(high, 16) << 32 | int(low, 16)))
+
+    def _after(self, position: int) -> int:
+        known = [s for s in self.segments() if s.largest is not None]
+        for s in reversed([s for s in known if s.least <= position <= s.largest]):
+            holds = [seq for seq, chunk in enumerate(read_segment(s.path), s.first) if position in record_positions(chunk)]
+            if holds:
+                return holds[-1] + 1
+        for s in known:
+            if s.largest > position:
+                return next(seq for seq, chunk in enumerate(read_segment(s.path), s.first) if max(record_positions(chunk), default=-1) > position)
+        return self.end()
 
-    def ranges(self, start: int, end: int) -> list[SegmentRange]:
+    def end(self) -> int:
         found = self.segments()
-        stops = [first for first, _ in found[1:]] + [end]
-        return [SegmentRange(path, first, max(start, first), min(end, stop)) for (first, path), stop in zip(found, stops) if first < end and stop > start]
+        return max(self.start_seq, found[-1].end) if found else self.start_seq
+
+    def ranges(self, start: int, end: int, beyond: int = -1) -> list[SegmentRange]:
+        """Parts of the segments that meet ``start .. end``, but those without a position ``beyond``."""
+        kept = [s for s in self.segments() if s.first < end and s.end > start and (beyond < 0 or (s.largest is not None and s.largest >= beyond))]
+        return [SegmentRange(s.path, s.first, max(start, s.first), min(end, s.end)) for s in kept]
 
     @staticmethod
     def rows(part: SegmentRange) -> Iterator[tuple[int, bytes]]:
@@ -97,24 +140,20 @@ class _Segments:
 
 
 class ChunkStreamReader(DataSourceStreamReader):
-    """Offsets are ``{"seq": next}``.
-
-    ``maxChunksPerRead`` bounds what one micro-batch admits, for streams that keep running.
-    A run that ends after what is available (``availableNow``) asks for the end once, so it
-    should leave the option out.
-    """
+    """Offsets are ``{"seq": next}``. ``maxChunksPerRead`` bounds what one micro-batch admits."""
 
     def __init__(self, options):
-        self.log, self.admitted = _Segments(options), None
+        self.log = _Segments(options)
+        self.admitted: int | None = None
 
     def initialOffset(self) -> dict:
-        return {"seq": self.log.start_seq}
+        return {"seq": self.log.first()}
 
     def latestOffset(self) -> dict:
-        end, limit = self.log.end(), self.log.limit
-        if limit:
-            end = min(end, (self.log.start_seq if self.admitted is None else self.admitted) + limit)
-        return {"seq": end}
+        if self.admitted is None:  # a stream that is started again plans first what it planned last
+            self.admitted = self.log.first()
+        end = max(self.log.end(), self.admitted)
+        return {"seq": min(end, self.admitted + self.log.limit) if self.log.limit else end}
 
     def partitions(self, start: dict, end: dict) -> list[SegmentRange]:
         self.admitted = max(self.admitted or 0, end["seq"])
@@ -128,14 +167,37 @@ class ChunkStreamReader(DataSourceStreamReader):
 
 
 class ChunkReader(DataSourceReader):
-    def __init__(self, options):
-        self.log = _Segments(options)
+    def __init__(self, options, with_positions: bool):
+        self.log, self.with_positions = _Segments(options), with_positions
+        self.start, self.end, self.beyond = self.log.start_seq, None, -1
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Narrow what is read; Spark applies all filters again to the rows that are."""
+        for f in filters:
+            if isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, EqualTo)):
+                value, more = f.value, int(isinstance(f, (GreaterThan, LessThanOrEqual)))
+                if f.attribute == ("seq",):
+                    if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
+                        self.start = max(self.start, value + more)
+                    if isinstance(f, (LessThan, LessThanOrEqual)):
+                        self.end = min(x for x in (self.end, value + more) if x is not None)
+                    if isinstance(f, EqualTo):
+                        self.end = min(x for x in (self.end, value + 1) if x is not None)
+                elif f.attribute == ("last_position",) and not isinstance(f, (LessThan, LessThanOrEqual)):
+                    self.beyond = max(self.beyond, int(value) + more)
+            yield f
 
     def partitions(self) -> list[SegmentRange]:
-        return self.log.ranges(self.log.start_seq, self.log.end()) or [SegmentRange("", 0, 0, 0)]
-
-    def read(self, partition: SegmentRange) -> Iterator[tuple[int, bytes]]:
-        return _Segments.rows(partition) if partition.path else iter(())
+        end = self.log.end() if self.end is None else min(self.end, self.log.end())
+        return self.log.ranges(self.start, end, self.beyond) or [SegmentRange("", 0, 0, 0)]
+
+    def read(self, partition: SegmentRange) -> Iterator[tuple]:
+        for seq, chunk in _Segments.rows(partition) if partition.path else ():
+            if self.with_positions:
+                found = record_positions(chunk)
+                yield seq, chunk, Decimal(max(found)) if found else None
+            else:
+                yield seq, chunk
 
 
 class ChunkSource(DataSource):
@@ -143,11 +205,14 @@ class ChunkSource(DataSource):
     def name(cls) -> str:
         return "tidelog_chunks"
 
+    def _with_positions(self) -> bool:
+        return self.options.get("positions", "false").lower() == "true"
+
     def schema(self) -> StructType:
-        return CHUNK
+        return StructType([*CHUNK.fields, StructField("last_position", U64)]) if self._with_positions() else CHUNK
 
     def reader(self, schema: StructType) -> ChunkReader:
-        return ChunkReader(self.options)
+        return ChunkReader(self.options, self._with_positions())
 
     def streamReader(self, schema: StructType) -> ChunkStreamReader:
         return ChunkStreamReader(self.options)
@@ -155,3 +220,4 @@ class ChunkSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(ChunkSource)
+    spark.conf.set(PUSHDOWN, "true")

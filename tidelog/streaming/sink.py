@@ -1,16 +1,19 @@
-"""Sinks for messages: Parquet by topic, memory, Kafka."""
+"""Sinks for messages: Parquet by topic, memory, Kafka, and a producer that counts acknowledgements."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import tempfile
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import KafkaConfig
 from ..operators.route import ordered_by_key
+from . import producer
 
-Sink = Callable[[DataFrame, int], None]
+#: What a sink returns: nothing, or how many messages were ``acknowledged``, and how many deliveries ``failed`` on the way.
+Sink = Callable[[DataFrame, int], Mapping[str, int] | None]
 
 
 def parquet_sink(path: str) -> Sink:
@@ -43,3 +46,16 @@ def kafka_sink(config: KafkaConfig, format_name: str = "kafka") -> Sink:
         kafka_frame(messages).write.format(format_name).options(**config.options()).mode("append").save()
 
     return write
+
+
+def producer_sink(config: KafkaConfig, module: str = "confluent_kafka", attempts: int = 3) -> Sink:
+    """Kafka through a producer in each task (its client library must be on all machines); counts what was acknowledged."""
+    report = tempfile.mkdtemp(prefix="tidelog-report-")  # between two processes of the driver
+
+    def write(messages: DataFrame, batch_id: int) -> dict[str, int] | None:
+        producer.register(messages.sparkSession)
+        options = config.producer() | {"module": module, "attempts": str(attempts), "report": report, "batchId": str(batch_id)}
+        kafka_frame(messages).write.format("tidelog_producer").options(**options).mode("append").save()
+        return producer.read_report(report, batch_id)
+
+    return write
