@@ -6,7 +6,7 @@ computes the same answers without any bytes.
 
 from __future__ import annotations
 
-import uuid
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,9 +21,10 @@ from ..operators.parse import first_frame, parse_chunks, records
 from ..operators.route import group_counts, group_lists, route, topic
 from ..operators.tuples import decode_tuple
 from ..schema import DEFAULT_SLOT
-from ..session import shared_dir
+from ..session import scratch
 from ..sources.catalog import known_slots, single_consumer, slot_exists
 from ..sources.checkpoint import CheckpointStore, checkpoint_json, latest_by_slot, latest_position, positions_of, resume_after, start_positions
+from ..streaming.batches import STATE_STORE, stream_batches
 from ..streaming.pipeline import Pipeline
 from ..streaming.sink import parquet_sink
 
@@ -300,9 +301,72 @@ def config_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(sorted(rows.items()), "k string, v string")
 
 
+def stream_batches_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches of ``batch_boundaries`` from a stream: events come in four parts, a part or more a micro-batch.
+
+    The open batch is in the state store between micro-batches. The query is then started
+    again, and a chunk without records is the last that it gets: silence after it closes the
+    last batch.
+    """
+    base, events = scratch(spark, "batches"), _events(spark, sf_dir)
+    found = events.agg(F.count("*").alias("n"), F.min("event_id").alias("least"), F.max("event_id").alias("most")).first()
+    arrived, out = f"{base}/events", f"{base}/out"
+    events.limit(0).write.parquet(arrived)
+    before = {name: spark.conf.get(name, None) for name in STATE_STORE}
+
+    def run(idle_ms: int, put: Callable[[], None], done: Callable[[list[int]], bool]) -> None:
+        seen = [0, 0]  # rows that came in, rows that went out
+        came: dict[int, int] = {}  # rows of each micro-batch
+
+        def take(rows: DataFrame, batch_id: int) -> None:
+            path = f"{out}/idle={idle_ms}/part={batch_id}"
+            rows.select("batch", "seq", "idx", "lsn").write.mode("overwrite").parquet(path)
+            seen[1] += spark.read.parquet(path).count()
+
+        chunks = event_chunks(spark.readStream.schema(events.schema).parquet(f"{arrived}*"))
+        parsed = parse_chunks(chunks.where("seq IS NOT NULL"), outcomes=True)
+        rows = parsed.select("seq", F.when(F.col("operation").isNotNull(), F.col("idx")).alias("idx"), "lsn")
+        query = stream_batches(rows, idle_ms=idle_ms).writeStream.foreachBatch(take).option("checkpointLocation", f"{base}/state").start()
+        try:
+            put()
+            while query.isActive and not done(seen):
+                came |= {p.batchId: max(p.numInputRows, came.get(p.batchId, 0)) for p in query.recentProgress}
+                seen[0] = sum(came.values())
+                time.sleep(0.05)
+        finally:
+            query.stop()
+        if query.exception():
+            raise query.exception()
+
+    def put_parts() -> None:
+        step = (found["most"] - found["least"]) // 4 + 1
+        for k in range(4):
+            first = found["least"] + k * step
+            events.where((F.col("event_id") >= first) & (F.col("event_id") < first + step)).write.parquet(f"{arrived}{k}")
+
+    def put_empty_chunk() -> None:
+        last = events.where(F.col("event_id") == found["most"]).limit(1)
+        last.select((F.expr("event_id div 5 * 5 + 9")).alias("event_id"), "ts", "event_type").write.parquet(f"{arrived}-last")  # its code emits nothing
+
+    try:
+        for name, value in STATE_STORE.items():
+            spark.conf.set(name, value)
+        if found["n"]:
+            run(3_600_000, put_parts, lambda seen: seen[0] >= found["n"])
+            sent = spark.read.parquet(f"{out}/idle=3600000").count()
+            total = records(first_frame(event_chunks(events))).count()
+            run(10, put_empty_chunk, lambda seen: sent + seen[1] >= total)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    schema = "batch long, seq long, idx int, lsn decimal(20,0)"
+    closed = spark.read.schema(schema).parquet(out) if found["n"] else spark.createDataFrame([], schema)
+    return batch_summary(closed.withColumnRenamed("batch", "batch_id")).select("batch_id", "n", _long("last_lsn"))
+
+
 def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream of chunks through the whole pipeline, to a Parquet sink in the shared folder, read back."""
-    base = f"{shared_dir(spark)}/tidelog-stream-{uuid.uuid4().hex}"
+    base = scratch(spark, "stream")
     events = spark.readStream.schema(_events(spark, sf_dir).schema).parquet(f"{sf_dir}/events.parque[t]")
     pipeline = Pipeline(AppConfig(), parquet_sink(f"{base}/out"))
     pipeline.start(event_chunks(events).select("seq", "chunk"), f"{base}/state", available_now=True).awaitTermination()
@@ -351,6 +415,7 @@ _TAILS |= {
           2 * turn + CASE WHEN p < 120 THEN 0 WHEN p < 230 THEN 1 ELSE 2 END AS batch_id, count(*) AS n FROM p GROUP BY ALL""",
     "empty_chunks": "SELECT seq, CAST(n AS BIGINT) AS n, CAST(coalesce(sum(n // 100) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS batch_id FROM (SELECT seq, CASE WHEN seq % 3 = 0 THEN 100 ELSE 0 END AS n FROM ch)",
     "group_lists": "SELECT batch_id, table_name, string_agg(CAST(seq AS VARCHAR), ',' ORDER BY seq) AS seqs FROM bat GROUP BY ALL",
+    "stream_batches": "SELECT batch_id, count(*) AS n, arg_max(lsn, seq) AS last_lsn FROM bat GROUP BY batch_id",
     "operation_labels": "SELECT upper(operation) AS label, count(*) AS n FROM rec GROUP BY 1",
     "table_lag": "SELECT table_name, 4102444800000 - max(ct // 1000) AS lag_ms FROM rec GROUP BY 1",
     "stream_messages": """SELECT seq, CAST(xid AS VARCHAR) AS key, '{"lsn":' || lsn || ',"table_schema":"' || table_schema || '","table_name":"' || table_name || '","operation":"' || operation
@@ -410,6 +475,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "config_numbers": config_numbers,
         "config_strings": config_strings,
         "stream_messages": stream_messages,
+        "stream_batches": stream_batches_query,
     }
 
 

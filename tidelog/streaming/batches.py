@@ -40,17 +40,20 @@ class OpenBatch(StatefulProcessor):
         self.number = handle.getValueState("batch", "batch long")
         self.held = handle.getListState("held", self.columns)
 
-    def _state(self) -> tuple[list[Row], int]:
-        return list(self.held.get()) if self.held.exists() else [], self.number.get()[0] if self.number.exists() else 0
+    def _state(self) -> tuple[list[tuple], int]:
+        return [tuple(x) for x in self.held.get()] if self.held.exists() else [], self.number.get()[0] if self.number.exists() else 0
 
-    def _out(self, key, batch: int | None, row: Row) -> Row:
-        return Row(slot=key[0], batch=batch, **{name: row[name] for name in self.columns.names})
+    def _values(self, row: Row) -> tuple:
+        return tuple(row[name] for name in self.columns.names)
+
+    def _out(self, key, batch: int | None, values: tuple) -> Row:
+        return Row(slot=key[0], batch=batch, **dict(zip(self.columns.names, values)))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         arrived = []
         for row in rows:
             if "error" in row and row["error"] is not None:
-                yield self._out(key, None, row)
+                yield self._out(key, None, self._values(row))
             elif row["idx"] is not None:
                 arrived.append(row)
         held, now = self._state()
@@ -60,15 +63,15 @@ class OpenBatch(StatefulProcessor):
             counts = np.diff(np.append(np.flatnonzero(np.concatenate([[True], seq[1:] != seq[:-1]])), len(seq)))
             ids, _, last = close_batches(counts, self.size, len(held), now)
             batch = [now] * len(held) + np.repeat(ids, counts).tolist()
-            held = held + arrived
+            held = held + [self._values(r) for r in arrived]
             closed = sum(b < last for b in batch)  # batches rise with arrival
-            for b, row in zip(batch[:closed], held):
-                yield self._out(key, b, row)
+            for b, values in zip(batch[:closed], held):
+                yield self._out(key, b, values)
             held = held[closed:]
             if last > now:
                 self.number.update((int(last),))
             if held:
-                self.held.put([tuple(row[name] for name in self.columns.names) for row in held])
+                self.held.put(held)
             else:
                 self.held.clear()
         for at in list(self.handle.listTimers()):
@@ -81,8 +84,8 @@ class OpenBatch(StatefulProcessor):
         if held:
             self.number.update((now + 1,))
             self.held.clear()
-        for row in held:
-            yield self._out(key, now, row)
+        for values in held:
+            yield self._out(key, now, values)
 
 
 def stream_batches(rows: DataFrame, size: int = BATCH_SIZE, idle_ms: int = 10, slot_col: str | None = None, slot: str = DEFAULT_SLOT) -> DataFrame:
