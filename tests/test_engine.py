@@ -140,6 +140,18 @@ def test_metrics_and_groups(spark):
     assert resume_after(rec, "0/100").where("lsn <= 100").count() == 0
 
 
+def test_a_key_stays_with_its_writer(spark):
+    """The number of a key's partition is the same in every batch, whatever else is in it, and a busy topic is many tasks."""
+    make = lambda keys: spark.createDataFrame([("busy" if i % 10 else "other", f"k{k}", i, 0) for i, k in enumerate(keys)], "topic string, key string, seq long, idx int")
+    place = {}
+    for keys in (range(200), [*range(0, 200, 7)] * 3, range(150, 400)):
+        rows = ordered_by_key(make(keys), 8).select("*", F.spark_partition_id().alias("p")).collect()
+        for r in rows:
+            assert place.setdefault((r.topic, r.key), r.p) == r.p
+    assert len({p for (t, _), p in place.items() if t == "busy"}) == 8
+    assert ordered_by_key(make(range(5)), 8).rdd.getNumPartitions() == 8
+
+
 def _run(spark, folder, check, pipeline):
     stream = spark.readStream.format("tidelog_chunks").option("path", str(folder)).load()
     query = pipeline.start(stream, str(check), available_now=True)

@@ -187,3 +187,41 @@ def test_random_chunks(spark):
     rows += [(2000 + i, b"".join(frame_bytes(rng.choice("WIUDT"), MAX - i, k, -k, "\u00e9" * (k % 3), "t\U0001f600") for k in range(i % 40))) for i in range(60)]
     df = spark.createDataFrame([(i, bytearray(c)) for i, c in rows], "seq long, chunk binary").repartition(2)
     assert _found(parse_chunks(df)) == {i: want for i, c in rows if (want := plain_frames(c))}
+
+
+def test_table_functions(spark):
+    from tidelog.functions import udtf
+
+    udtf.register(spark)
+    chunks = [(s, i, bytearray(c)) for s in ("a", "b") for i, c in enumerate([b"", b"I" + b"\1" * 30, frame_bytes("U", 2**64 - 1, 5, -1, "s", "t"), frame_bytes("I", 1, 2, 3, "s", "t") + frame_bytes("W", 1, 2, 3, "s", "t") + frame_bytes("D", 4, 5, 6, "s", "ü", 9, b"x")])]
+    df = spark.createDataFrame([*chunks, ("c", 9, None)], "slot string, seq long, chunk binary")
+    want = sorted(map(str, parse_chunks(df.withColumn("seq", df.seq * 10), keep=["slot"]).drop("new_tuple", "old_tuple", "seq").select("slot", "idx", "lsn", "table_schema", "table_name", "operation", "oid", "tx_commit_time", "tx_xid", "error").collect()))
+    for clause in ("", " PARTITION BY slot ORDER BY seq"):
+        got = spark.sql(f"SELECT slot, idx, lsn, table_schema, table_name, operation, oid, tx_commit_time, tx_xid, error FROM parse_chunks(TABLE({{df}}){clause})", df=df)
+        assert sorted(map(str, got.collect())) == want
+    for bad in ("SELECT seq FROM {df}", "SELECT chunk, seq AS idx FROM {df}", "SELECT CAST(chunk AS STRING) AS chunk FROM {df}"):
+        with pytest.raises(Exception, match="parse_chunks"):
+            spark.sql(f"SELECT * FROM parse_chunks(TABLE({bad}))", df=df).collect()
+    with pytest.raises(Exception, match="TABLE"):
+        spark.sql("SELECT * FROM parse_chunks(1)").collect()
+    tuples = spark.createDataFrame([(0, bytearray(b"NNtxy"), [1, 2, 3, 4]), (1, None, [7]), (2, bytearray(b"N"), []), (3, bytearray(b"t"), [5])], "k int, data binary, oids array<bigint>")
+    rows = spark.sql("SELECT * FROM decode_tuples(TABLE({t}))", t=tuples).collect()
+    assert sorted((r.k, r.pos, r.type_oid, r.value and bytes(r.value), r.is_null) for r in rows if r.k != 3) == [(0, 0, 1, None, True), (0, 1, 2, None, True), (0, 2, 3, b"xy", False), (0, 3, 4, None, True), (1, 0, 7, None, True)]
+    assert [(bytes(r.value), r.is_null) for r in rows if r.k == 3] == [(b"", False)]
+
+
+def test_values_read_from_messages(spark):
+    from tidelog.functions.values import kind_of, read_message
+
+    cases = {'"a"': "String", '""': "String", "5": "Integer", "-9223372036854775808": "Integer", "9223372036854775808": "Float", "2.0": "Float", "1e3": "Float", "true": "Boolean", "[1,2]": "Json", '{"a":null}': "Json", "[]": "Json", "null": None}
+    head = '{"lsn":18446744073709551615,"table_schema":"s","table_name":"t","operation":"Insert","oid":7,"new_tuple":{"columns":[{"name":"","type_oid":1,"value":'
+    tail = ',"is_null":false}]},"old_tuple":null,"tx_commit_time":-1,"tx_xid":18446744073709551614}'
+    df = spark.createDataFrame([(t, head + t + tail) for t in cases], "t string, m string").select("t", read_message(F.col("m")).alias("r"))
+    value = F.col("r.new_tuple.columns")[0]["value"]
+    rows = df.select("t", kind_of(value).alias("kind"), F.to_json(value).alias("text"), value.isNull().alias("none"), "r.lsn", "r.tx_xid", "r.old_tuple", "r.tx_commit_time").collect()
+    assert {r.t: r.kind for r in rows} == cases
+    assert {r.t: r.text for r in rows if r.t in ("2.0", "5", '{"a":null}')} == {"2.0": "2.0", "5": "5", '{"a":null}': '{"a":null}'}
+    assert [r.t for r in rows if r.none] == ["null"]
+    assert {(int(r.lsn), int(r.tx_xid), r.old_tuple, r.tx_commit_time) for r in rows} == {(2**64 - 1, 2**64 - 2, None, -1)}
+    with pytest.raises(Exception):
+        spark.createDataFrame([("{broken",)], "m string").select(read_message(F.col("m")).alias("r")).select("r.lsn").collect()

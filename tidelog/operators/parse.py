@@ -11,6 +11,7 @@ one row with ``error`` instead of its records.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,22 @@ def _walk(data: memoryview, at: int, end: int) -> tuple[list[tuple[int, int, int
     return out, 0, end
 
 
+def record_frames(chunk: bytes) -> tuple[list[tuple], str | None]:
+    """Records of one chunk, as the fields from position to transaction id without tuples, or its error."""
+    frames, error, end = _walk(memoryview(chunk), 0, len(chunk))
+    if error:
+        return [], _ERRORS[error]
+    number = lambda at, size, signed=False: int.from_bytes(chunk[at : at + size], "big", signed=signed)
+    text = lambda start, stop: chunk[start:stop].decode("utf-8", "replace")
+    return [
+        (
+            Decimal(number(at + 1, 8)), text(at + HEADER_BYTES, first), text(first + 1, second), OPERATIONS[chr(chunk[at])],
+            number(second + 1, 4) if end - second > 5 else 0, number(at + 17, 8, True), Decimal(number(at + 9, 8)),
+        )
+        for at, first, second in frames if _EMITS[chunk[at]]
+    ], None
+
+
 def find_frames(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Record frames of chunks that lie at ``starts .. ends`` of the bytes ``data``.
 

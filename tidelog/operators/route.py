@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import RECORD_FIELDS
 from .tuples import json_value
@@ -20,12 +21,17 @@ def key(xid: Column) -> Column:
 
 
 def payload(records: DataFrame) -> Column:
-    """JSON of the whole record, nulls included, in the order of its fields."""
+    """JSON of the whole record, nulls included, in the order of its fields.
+
+    Values of tuples are bytes, or variants (:mod:`~tidelog.functions.values`).
+    """
 
     def field(name: str) -> Column:
         if name not in ("new_tuple", "old_tuple"):
             return F.col(name)
-        column = lambda c: F.struct(c["name"].alias("name"), c["type_oid"].alias("type_oid"), json_value(c["value"]).alias("value"), c["is_null"].alias("is_null"))
+        is_bytes = isinstance(records.schema[name].dataType["columns"].dataType.elementType["value"].dataType, T.BinaryType)
+        value_of = json_value if is_bytes else lambda value: value
+        column = lambda c: F.struct(c["name"].alias("name"), c["type_oid"].alias("type_oid"), value_of(c["value"]).alias("value"), c["is_null"].alias("is_null"))
         value = F.when(F.col(name).isNotNull(), F.struct(F.transform(F.col(name)["columns"], column).alias("columns")))
         return value.alias(name)
 
@@ -44,12 +50,20 @@ def route(records: DataFrame, prefix: str = "cdc", *more: str) -> DataFrame:
     )
 
 
-def ordered_by_key(messages: DataFrame) -> DataFrame:
+def writer_of(writers: int) -> Column:
+    """The writer of a message: a stable hash of its topic and key, so a key stays with its writer from batch to batch."""
+    return F.pmod(F.xxhash64("topic", "key"), F.lit(writers)).cast("int")
+
+
+def ordered_by_key(messages: DataFrame, writers: int | None = None) -> DataFrame:
     """Messages of one topic and key together and in order of arrival, as sinks that keep order by key need them.
 
-    A busy topic is dealt by its keys, so it isn't one task.
+    There are ``writers`` partitions (as many as the session shuffles into, without it). A
+    busy topic is dealt by its keys, so it isn't one task, and a key is in the partition of
+    the same number in every batch.
     """
-    return messages.repartition("topic", "key").sortWithinPartitions("topic", "seq", "idx")
+    n = writers or int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return messages.repartitionById(n, writer_of(n)).sortWithinPartitions("topic", "seq", "idx")
 
 
 def group_counts(records: DataFrame, *more: str) -> DataFrame:

@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from ..config import AppConfig
 from ..functions.binary import code_of, lsn_hex, lsn_text, number_or, operation_label
+from ..functions import udtf
 from ..functions.frames import event_chunks, event_fields, frame, u32_bytes
+from ..functions.values import boolean_value, bytes_value, float_value, integer_value, json_text_value, kind_of, read_message, text_value, typed_column
 from ..operators.batching import assign_batches, batch_summary, with_batches
 from ..operators.metrics import chunk_counters, table_lag, table_metrics
 from ..operators.parse import first_frame, parse_chunks, records
-from ..operators.route import group_counts, group_lists, route, topic
+from ..operators.route import group_counts, group_lists, payload, route, topic
 from ..operators.tuples import decode_tuple
 from ..schema import DEFAULT_SLOT
 from ..session import scratch
@@ -101,16 +103,53 @@ def oid_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def multi_frame_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four frames without object ids in a chunk: each reads its id from the next one."""
-    f = event_fields(_events(spark, sf_dir))
-    one = frame(*[F.col(c) for c in ("msg", "lsn", "xid", "ct", "table_schema", "table_name")])
-    body = F.sort_array(F.collect_list(F.struct("seq", one.alias("f"))))
-    chunks = f.groupBy(F.expr("seq div 4").alias("seq")).agg(body.alias("parts"))
-    joined = F.unhex(F.array_join(F.transform("parts", lambda x: F.hex(x["f"])), ""))
-    parsed = records(parse_chunks(chunks.select("seq", joined.alias("chunk"))))
+    parsed = records(parse_chunks(_four_frames(spark, sf_dir).withColumnRenamed("chunk_id", "seq")))
     # The place of a record in its chunk counts records only; its own number follows from its position.
     return parsed.select(F.col("seq").alias("chunk_id"), F.expr("cast((lsn - 24) / 16777216 as long)").alias("seq"), "oid")
 
 
+def _four_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``chunk_id, chunk``: four frames without object ids in a chunk, as :func:`multi_frame_chunks` has them."""
+    f = event_fields(_events(spark, sf_dir))
+    one = frame(*[F.col(c) for c in ("msg", "lsn", "xid", "ct", "table_schema", "table_name")])
+    parts = f.groupBy(F.expr("seq div 4").alias("chunk_id")).agg(F.sort_array(F.collect_list(F.struct("seq", one.alias("f")))).alias("parts"))
+    nth = lambda k: F.coalesce(F.get(F.col("parts"), k)["f"], F.unhex(F.lit("")))
+    return parts.select("chunk_id", F.concat(*[nth(k) for k in range(4)]).alias("chunk"))
+
+
+def sql_parse_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What :func:`multi_frame_chunks` finds, by the table function of SQL."""
+    udtf.register(spark)
+    return spark.sql("SELECT chunk_id, CAST((lsn - 24) / 16777216 AS BIGINT) AS seq, oid FROM parse_chunks(TABLE({chunks})) WHERE error IS NULL", chunks=_four_frames(spark, sf_dir))
+
+
+def sql_decode_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What :func:`tuple_decode` finds, by the table function of SQL."""
+    udtf.register(spark)
+    f = event_fields(_events(spark, sf_dir))
+    data = F.concat(F.encode(F.repeat(F.lit("N"), (F.col("seq") % 4).cast("int")), "UTF-8"), F.encode(F.concat(F.lit("t"), F.col("table_name")), "UTF-8"))
+    tuples = f.select("seq", data.alias("data"), F.array(F.lit(23), F.lit(25), F.lit(1043)).cast("array<bigint>").alias("oids"))
+    return spark.sql("SELECT seq, pos, type_oid, CAST(value AS STRING) AS value, is_null FROM decode_tuples(TABLE({tuples}))", tuples=tuples)
+
+
+def value_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value of each kind, and none, in messages and back: the kind that was written, the one read, its text, and whether the message made from it is the same."""
+    e, i = _events(spark, sf_dir), F.col("event_id")
+    kinds = {
+        "String": text_value(F.col("event_type")), "Integer": integer_value(i * 1000003), "Float": float_value(i / 4), "Boolean": boolean_value(i % 16 < 8),
+        "Json": json_text_value(F.concat(F.lit('{"id":'), i.cast("string"), F.lit(',"t":[null,"'), F.col("event_type"), F.lit('"]}'))), "Bytes": bytes_value(F.encode("event_type", "UTF-8")),
+    }
+    wrote, value = F.lit(None).cast("string"), F.lit(None).cast("variant")
+    for k, (kind, made) in enumerate(kinds.items()):
+        wrote, value = F.when(i % 7 == k, kind).otherwise(wrote), F.when(i % 7 == k, made).otherwise(value)
+    typed = F.struct(F.array(typed_column(F.lit("c"), F.lit(25), value)).alias("columns"))
+    message = lambda df: df.withColumn("value", payload(df))
+    sent = message(records(first_frame(event_chunks(e).select("seq", "chunk"))).join(e.select(F.col("event_id").alias("seq"), typed.alias("typed"), wrote.alias("wrote")), "seq").withColumn("new_tuple", F.col("typed")))
+    back = message(sent.select("seq", "wrote", F.col("value").alias("first"), F.inline(F.array(read_message(F.col("value"))))))
+    got = F.col("new_tuple")["columns"][0]["value"]
+    return back.select("seq", "wrote", kind_of(got).alias("kind"), F.to_json(got).alias("text"), (F.col("first") == F.col("value")).alias("same"))
+
+
 def parse_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In every seventh chunk the second name has no end."""
     chunk = F.col("chunk")
@@ -149,7 +188,10 @@ def resume_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def slot_exists_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slot_exists(spark.createDataFrame([(DEFAULT_SLOT,), ("other",)], "slot_name string"))
+    """A slot that is among those named by the types of events, and two that aren't."""
+    slots = _events(spark, sf_dir).select(F.col("event_type").alias("slot_name"))
+    found = [slot_exists(slots, name).select(F.lit(name).alias("slot"), "slot_exists") for name in ("purchase", "purchas", DEFAULT_SLOT)]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 def pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,8 +212,12 @@ def table_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def config_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [("port", "5432x", 5432), ("linger_ms", None, 5), ("batch_size", "32768", 16384)]
-    return spark.createDataFrame(rows, "k string, v string, d int").select("k", number_or(F.col("v"), F.col("d"), 32).cast("int").alias("val"))
+    """Three settings in texts made from events: a number and letters, none, a number."""
+    i = F.col("event_id")
+    k = F.when(i % 3 == 0, "port").when(i % 3 == 1, "linger_ms").otherwise("batch_size")
+    v = F.when(i % 3 == 0, F.concat(i.cast("string"), F.lit("x"))).when(i % 3 == 2, i.cast("string"))
+    d = F.when(i % 3 == 0, 5432).when(i % 3 == 1, 5).otherwise(16384)
+    return _events(spark, sf_dir).select("event_id", k.alias("k"), number_or(v, d, 32).cast("int").alias("val"))
 
 
 def tuple_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,19 +332,26 @@ def slots_of_consumers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def config_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers of 16, 32 and 64 bits in texts: signs, blanks, too large, none."""
-    texts = ["5432", "+5432", "-1", " 5432", "70000", "65535", "4294967296", "18446744073709551615", "18446744073709551616", "1e3", "", None]
-    rows = [(t, bits) for t in texts for bits in (16, 32, 64)]
-    out = [spark.createDataFrame([(t, b) for t, b in rows if b == bits], "v string, bits int").select("v", "bits", number_or(F.col("v"), F.lit(7), bits).cast("string").alias("val")) for bits in (16, 32, 64)]
+    """Numbers of 16, 32 and 64 bits in texts made from events: signs, blanks, too large, none."""
+    i = F.col("event_id").cast("string")
+    texts = [i, F.concat(F.lit("+"), i), F.concat(F.lit("-"), i), F.concat(F.lit(" "), i), F.concat(i, F.lit("000")), F.concat(F.lit("4294967"), F.lpad(i, 6, "0")), F.concat(F.lit("18446744073709"), F.lpad(i, 6, "0")), F.concat(F.lit("65"), F.lpad(i, 3, "0")), F.concat(i, F.lit("e3")), F.col("event_type"), F.lit("")]
+    v = F.lit(None).cast("string")
+    for k, text in enumerate(texts):
+        v = F.when(F.col("event_id") % 12 == k, text).otherwise(v)
+    e = _events(spark, sf_dir).select("event_id", v.alias("v"))
+    out = [e.select("event_id", "v", F.lit(bits).alias("bits"), number_or(F.col("v"), F.lit(7), bits).cast("string").alias("val")) for bits in (16, 32, 64)]
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 def config_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the settings make of an environment that sets two of them."""
-    c = AppConfig.from_env({"WAL_WRITER_PG_HOST": "db", "WAL_WRITER_KAFKA_TOPIC_PREFIX": "p"})
-    rows = {"connection": c.postgres.connection_string(), "slot": c.postgres.slot, "start": CheckpointStore().start(c.postgres.slot), "prefix": c.kafka.topic_prefix, "log": c.logging.log_dir, "level": c.logging.level}
-    rows |= {k: c.kafka.options()[f"kafka.{k}"] for k in ("bootstrap.servers", "acks", "linger.ms", "batch.size")}
-    return spark.createDataFrame(sorted(rows.items()), "k string, v string")
+    """What the settings make of an environment for each type of events, in which two are set to its name."""
+    out = []
+    for r in _events(spark, sf_dir).select("event_type").distinct().where("event_type IS NOT NULL").collect():  # a handful
+        c = AppConfig.from_env({"WAL_WRITER_PG_HOST": r.event_type, "WAL_WRITER_KAFKA_TOPIC_PREFIX": r.event_type[::-1]})
+        rows = {"connection": c.postgres.connection_string(), "slot": c.postgres.slot, "start": CheckpointStore().start(c.postgres.slot), "prefix": c.kafka.topic_prefix, "log": c.logging.log_dir, "level": c.logging.level}
+        rows |= {k: c.kafka.options()[f"kafka.{k}"] for k in ("bootstrap.servers", "acks", "linger.ms", "batch.size")}
+        out += [(r.event_type, k, v) for k, v in rows.items()]
+    return spark.createDataFrame(out, "event_type string, k string, v string")
 
 
 def stream_batches_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,18 +474,32 @@ _TAILS |= {
     "stream_messages": """SELECT seq, CAST(xid AS VARCHAR) AS key, '{"lsn":' || lsn || ',"table_schema":"' || table_schema || '","table_name":"' || table_name || '","operation":"' || operation
         || '","oid":' || oid || ',"new_tuple":null,"old_tuple":null,"tx_commit_time":' || ct || ',"tx_xid":' || xid || '}' AS value, batch_id AS batch FROM bat""",
 }
+_TAILS |= {
+    "sql_parse_chunks": _TAILS["multi_frame_chunks"],
+    "sql_decode_tuples": _TAILS["tuple_decode"],
+    "value_round_trip": """, k AS (SELECT seq, table_name AS t, seq % 7 AS k FROM rec)
+        SELECT seq, CASE k WHEN 0 THEN 'String' WHEN 1 THEN 'Integer' WHEN 2 THEN 'Float' WHEN 3 THEN 'Boolean' WHEN 4 THEN 'Json' WHEN 5 THEN 'Bytes' END AS wrote,
+          CASE k WHEN 0 THEN 'String' WHEN 1 THEN 'Integer' WHEN 2 THEN 'Float' WHEN 3 THEN 'Boolean' WHEN 4 THEN 'Json' WHEN 5 THEN 'Json' END AS kind,
+          CASE k WHEN 0 THEN '"' || t || '"' WHEN 1 THEN CAST(seq * 1000003 AS VARCHAR) WHEN 2 THEN CAST(CAST(seq AS DOUBLE) / 4 AS VARCHAR) WHEN 3 THEN CASE WHEN seq % 16 < 8 THEN 'true' ELSE 'false' END
+            WHEN 4 THEN '{"id":' || seq || ',"t":[null,"' || t || '"]}' WHEN 5 THEN '[' || array_to_string(list_transform(range(1, length(t) + 1), lambda i: ascii(substr(t, i, 1))), ',') || ']' END AS text, true AS same FROM k""",
+}
 _WHOLE = {
     "checkpoint_upsert": _LATEST,
     "checkpoint_file": _LATEST,
     "checkpoint_lookup": f"SELECT slot AS slot_name, last_lsn AS start FROM ({_LATEST}) UNION ALL SELECT * FROM (VALUES ('new', '0/0'), ('newer', '0/0')) v",
     "slots_of_consumers": """WITH w AS (SELECT event_type || '_' || event_id % 7 AS slot_name FROM events), s AS (SELECT DISTINCT event_type || '_' || event_id % 5 AS slot_name FROM events WHERE event_id % 2 = 0)
         SELECT slot_name, count(*) AS consumers, count(*) FILTER (WHERE slot_name IN (SELECT slot_name FROM s)) AS known FROM w GROUP BY 1 HAVING count(*) > 1""",
-    "config_numbers": """SELECT v, bits, CASE WHEN regexp_full_match(v, '[+]?[0-9]+') AND CAST(v AS HUGEINT) < power(2, bits)::HUGEINT THEN CAST(CAST(v AS HUGEINT) AS VARCHAR) ELSE '7' END AS val
-        FROM (VALUES ('5432'), ('+5432'), ('-1'), (' 5432'), ('70000'), ('65535'), ('4294967296'), ('18446744073709551615'), ('18446744073709551616'), ('1e3'), (''), (NULL)) t(v), (VALUES (16), (32), (64)) b(bits)""",
-    "config_strings": """SELECT * FROM (VALUES ('connection', 'host=db port=5432 user=postgres password= dbname=postgres'), ('slot', 'wal_writer_slot'), ('start', '0/0'), ('prefix', 'p'), ('log', '/var/log/wal-writer'), ('level', 'info'),
-        ('bootstrap.servers', 'localhost:9092'), ('acks', 'all'), ('linger.ms', '5'), ('batch.size', '16384')) t(k, v)""",
-    "slot_exists": "SELECT EXISTS(SELECT 1 FROM (VALUES ('wal_writer_slot'), ('other')) s(slot_name) WHERE slot_name = 'wal_writer_slot') AS slot_exists",
-    "config_defaults": "SELECT k, coalesce(try_cast(v AS INTEGER), d) AS val FROM (VALUES ('port', '5432x', 5432), ('linger_ms', NULL, 5), ('batch_size', '32768', 16384)) t(k, v, d)",
+    "config_numbers": """WITH e AS (SELECT event_id, CAST(event_id AS VARCHAR) AS i, event_type FROM events),
+        t AS (SELECT event_id, CASE event_id % 12 WHEN 0 THEN i WHEN 1 THEN '+' || i WHEN 2 THEN '-' || i WHEN 3 THEN ' ' || i WHEN 4 THEN i || '000' WHEN 5 THEN '4294967' || lpad(i, 6, '0')
+          WHEN 6 THEN '18446744073709' || lpad(i, 6, '0') WHEN 7 THEN '65' || lpad(i, 3, '0') WHEN 8 THEN i || 'e3' WHEN 9 THEN event_type WHEN 10 THEN '' END AS v FROM e)
+        SELECT event_id, v, bits, CASE WHEN regexp_full_match(v, '[+]?[0-9]+') AND CAST(v AS HUGEINT) < power(2, bits)::HUGEINT THEN CAST(CAST(v AS HUGEINT) AS VARCHAR) ELSE '7' END AS val
+        FROM t, (VALUES (16), (32), (64)) b(bits)""",
+    "config_strings": """SELECT event_type, k, v FROM (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL) e, LATERAL (SELECT * FROM (VALUES
+        ('connection', 'host=' || event_type || ' port=5432 user=postgres password= dbname=postgres'), ('slot', 'wal_writer_slot'), ('start', '0/0'), ('prefix', reverse(event_type)), ('log', '/var/log/wal-writer'), ('level', 'info'),
+        ('bootstrap.servers', 'localhost:9092'), ('acks', 'all'), ('linger.ms', '5'), ('batch.size', '16384')) t(k, v)) x""",
+    "slot_exists": "SELECT slot, slot IN (SELECT event_type FROM events) AS slot_exists FROM (VALUES ('purchase'), ('purchas'), ('wal_writer_slot')) s(slot)",
+    "config_defaults": """SELECT event_id, k, coalesce(try_cast(v AS INTEGER), d) AS val FROM (SELECT event_id, ['port', 'linger_ms', 'batch_size'][event_id % 3 + 1] AS k, [5432, 5, 16384][event_id % 3 + 1] AS d,
+        CASE event_id % 3 WHEN 0 THEN event_id || 'x' WHEN 2 THEN CAST(event_id AS VARCHAR) END AS v FROM events)""",
 }
 
 
@@ -476,6 +543,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "config_strings": config_strings,
         "stream_messages": stream_messages,
         "stream_batches": stream_batches_query,
+        "sql_parse_chunks": sql_parse_chunks,
+        "sql_decode_tuples": sql_decode_tuples,
+        "value_round_trip": value_round_trip,
     }
 
 
