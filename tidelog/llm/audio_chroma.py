@@ -4,9 +4,11 @@ A recording (mono 16-bit WAV bytes) becomes frames of twelve pitch-class energie
 compare areas of the frame-by-pitch image, whose sums come from its integral image; each
 is quantised to two Gray-coded bits, and sixteen of them make one 32-bit integer a frame.
 
-Equal fingerprints are one class. A query class is aligned with others that share the
-leading bits of an integer: the offsets of such hits make a histogram, its peak is the
-offset of the pair, and the share of differing bits over the overlap there decides.
+Equal fingerprints are one class. A query class is aligned with others that share all but
+two of an integer's sixteen filters, under one of three choices of the two: long keys are
+shared by few recordings by chance, and several choices find codes with errors in any
+one filter of theirs. The offsets of such hits make a histogram, its peak is the offset of
+the pair, and the share of differing bits over the overlap there decides.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -121,7 +123,24 @@ def fingerprints(recordings: DataFrame, *, id_col: str = "rec_id", audio_col: st
     return recordings.select(F.col(id_col).cast("long").alias("rec_id"), F.col(audio_col).cast("binary").alias("audio")).mapInArrow(run, FINGERPRINTS)
 
 
-def align(prints: DataFrame, *, query_step: int = 100, key_bits: int = 20, max_errors: float = 0.10, min_overlap: float = 0.5) -> DataFrame:
+#: What the keys leave out: two neighbouring filters (four bits) each.
+MASKS = tuple(0xFFFFFFFF ^ 0xF << at for at in (28, 14, 0))
+
+
+def _keys(code: Column) -> Column:
+    """The keys of a code, one for each mask, apart by their highest bits."""
+    return F.array(*[code.bitwiseAND(F.lit(m)) + F.lit(k << 32) for k, m in enumerate(MASKS)])
+
+
+def _first_key(a: Column, b: Column, key: Column) -> Column:
+    """Whether no mask before that of the key makes two codes equal, so that a hit counts once."""
+    earlier = F.lit(False)
+    for k, m in enumerate(MASKS[:-1]):
+        earlier = earlier | ((F.shiftright(key, 32) > k) & (a.bitwiseXOR(b).bitwiseAND(F.lit(m)) == 0))
+    return ~earlier
+
+
+def align(prints: DataFrame, *, query_step: int = 100, max_errors: float = 0.10, min_overlap: float = 0.5) -> DataFrame:
     """Align recordings with the queries, those whose id ``query_step`` divides.
 
     One row per recording: ``rec_id, n_codes, digest, class_id, n_links, best_query,
@@ -131,8 +150,7 @@ def align(prints: DataFrame, *, query_step: int = 100, key_bits: int = 20, max_e
     least ``min_overlap`` of the shorter. ``best_query``: the class of those with the least
     share (ties: the least id), ``best_offset`` frames later in it.
 
-    A query probes with all its keys (leading bits of codes) that another class has too.
-    The index holds every class.
+    A query probes with all keys of all its codes. The index holds every class.
     Recordings without codes have a null class and no links. Null ids take part but are no
     queries; a class of them alone has a null ``class_id`` and isn't indexed. Repeated rows
     are in one class. An empty table gives no rows.
@@ -143,10 +161,10 @@ def align(prints: DataFrame, *, query_step: int = 100, key_bits: int = 20, max_e
     classes = full.groupBy("digest").agg(F.min("rec_id").alias("class_id"), F.max(is_query).alias("is_query"), F.max("codes").alias("codes"))
     classes = materialize(classes, "classes")
     indexed = classes.where(F.col("class_id").isNotNull())
-    key = F.shiftright(F.col("code"), 32 - key_bits)
-    postings = indexed.select("class_id", F.posexplode("codes").alias("at", "code")).select("class_id", "at", key.alias("key"))
-    queries = indexed.where("is_query = 1").select(F.col("class_id").alias("query"), F.posexplode("codes").alias("query_at", "code")).select("query", "query_at", key.alias("key"))
-    hits = queries.join(postings, "key").where(F.col("query") != F.col("class_id"))
+    keyed = lambda df, name, at, code: df.select(F.col("class_id").alias(name), F.posexplode("codes").alias(at, code)).select("*", F.explode(_keys(F.col(code))).alias("key"))
+    postings = keyed(indexed, "class_id", "at", "code")
+    queries = keyed(indexed.where("is_query = 1"), "query", "query_at", "query_code")
+    hits = queries.join(postings, "key").where((F.col("query") != F.col("class_id")) & _first_key(F.col("query_code"), F.col("code"), F.col("key")))
     histogram = hits.groupBy("query", "class_id", (F.col("query_at") - F.col("at")).alias("offset")).agg(F.count("*").alias("n"))
     peak = histogram.groupBy("query", "class_id").agg(F.max_by("offset", F.struct("n", -F.abs("offset"), "offset")).alias("offset"))
     a = indexed.select(F.col("class_id").alias("query"), F.col("codes").alias("q"))
