@@ -177,3 +177,23 @@ def test_preferences_are_learnt_in_closed_form():
     d = (x[0] - x[1]) / r.scale
     assert math.isclose(float(d[0] / (1 + math.exp(r.weights[0] * d[0]))), 0.01 * r.weights[0], rel_tol=1e-6)
     assert r.score(x)[0] > 0.5 > r.score(x)[1]
+
+
+def test_a_template_under_the_threshold_compares_nothing(spark):
+    """2000 texts of two templates: of the one under 80 per cent no two are compared, of the other all."""
+    from tidelog.llm.hyperminhash import _able_pairs, _meetings, _partner_sizes, near_duplicates
+
+    texts = [(i, f"thank you for all of your orders n{i}") for i in range(1900)]  # 7 shingles, 6 shared: 75 per cent
+    texts += [(i, f"we will be in touch with you again soon n{i}") for i in range(1900, 2000)]  # 9 shingles, 8 shared: 80 per cent
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    members = spark.createDataFrame([(i, len(t.split()) - 1, i) for i, t in texts], "class_id long, n int, component long")
+    pairs = _able_pairs(docs, members, 2, 80).collect()
+    assert len(pairs) == 100 * 99 // 2 and min(r.b for r in pairs) == 1900
+    rows = [("hot", i, 8, i, 2, 6, 0) for i in range(2000)]
+    early = spark.createDataFrame(rows, "shingle string, class_id long, n int, component long, at int, left int, most long")
+    assert _partner_sizes(early, 80).count() == 0 and _meetings(early, 80).count() == 0
+    mixed = spark.createDataFrame([*rows[:50], ("hot", 9001, 8, 9001, 1, 7, 0), ("hot", 9002, 8, 9002, 1, 7, 0), ("hot", 9003, 7, 9001, 1, 6, 0), ("hot", 9004, 30, 9004, 1, 29, 0)], early.schema)
+    got = {(min(r.a, r.b), max(r.a, r.b)) for r in _meetings(mixed, 80).collect()}
+    want = {(a.class_id, b.class_id) for a in mixed.collect() for b in mixed.collect() if a.class_id < b.class_id and a.component != b.component and (1 + min(a.left, b.left)) * 180 >= 80 * (a.n + b.n) and min(a.n, b.n) * 100 >= max(a.n, b.n) * 80}
+    assert got == want and (9001, 9002) in got
+    assert {r.component_id == r.doc_id for r in near_duplicates(docs.where('doc_id < 200'), shingle_words=2, percent=80).collect()} == {True}

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, materialize, tidy
@@ -227,6 +227,36 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
     return chosen.mapInArrow(tidy(run), "class_id long, shingles array<long>")
 
 
+def _able(na: Column, left_a: Column, nb: Column, left_b: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be linked that have a shingle in common with so many left after it."""
+    # Shared s of a union na + nb - s: s * (100 + percent) >= percent * (na + nb).
+    return ((1 + F.least(left_a, left_b)) * (100 + percent) >= percent * (na + nb)) & (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent)
+
+
+def _partner_sizes(early: DataFrame, percent: int) -> DataFrame:
+    """``shingle, na, nb, most_left``: sizes of sets that can be linked through a shingle, with the most that a set of size ``nb`` has left after it.
+
+    What sets share is bounded by their sizes and places alone, so sizes are compared before
+    members are: a template just under the threshold, met by any number of texts, has no row.
+    """
+    sizes = early.groupBy("shingle", "n").agg(F.max("left").alias("left"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    x = sizes.select("shingle", *[F.col(c).alias(f"{c}a") for c in ("n", "left", "lo", "hi")])
+    y = sizes.select("shingle", *[F.col(c).alias(f"{c}b") for c in ("n", "left", "lo", "hi")])
+    several = F.least("loa", "lob") != F.greatest("hia", "hib")
+    met = x.join(y, "shingle").where(several & _able(F.col("na"), F.col("lefta"), F.col("nb"), F.col("leftb"), percent))
+    return met.select("shingle", "na", "nb", F.col("leftb").alias("most_left"))
+
+
+def _meetings(early: DataFrame, percent: int) -> DataFrame:
+    """Members ``a, b`` of different components ``ca, cb`` that meet early at a shingle and can be linked through it."""
+    side = lambda x: early.select("shingle", F.col("class_id").alias(x), *[F.col(c).alias(f"{c}{x}") for c in ("n", "left")], F.col("component").alias(f"c{x}"), "most")
+    # Of two components one at least isn't the one met most; of two such one order is enough.
+    once = (F.col("cb") == F.col("most")) | (F.col("a") > F.col("b"))
+    able = lambda left_b: _able(F.col("na"), F.col("lefta"), F.col("nb"), left_b, percent)
+    asked = side("a").where(F.col("ca") != F.col("most")).join(_partner_sizes(early, percent), ["shingle", "na"]).where(able(F.col("most_left"))).drop("most_left")
+    return asked.join(side("b").drop("most"), ["shingle", "nb"]).where((F.col("ca") != F.col("cb")) & once & able(F.col("leftb")))
+
+
 def _able_pairs(docs: DataFrame, members: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     """Pairs ``a > b`` of ``members(class_id, n, component)`` in different components ``ca, cb`` that may be linked.
 
@@ -245,14 +275,8 @@ def _able_pairs(docs: DataFrame, members: DataFrame, shingle_words: int, percent
     early = materialize(early, "early")
     met = early.groupBy("shingle", "component").agg(F.count("*").alias("k"))
     met = met.groupBy("shingle").agg(F.max_by("component", F.struct("k", "component")).alias("most"), F.count("*").alias("k")).where(F.col("k") > 1).select("shingle", "most")
-    early = early.join(met, "shingle")
-    side = lambda x: early.select("shingle", "most", F.col("class_id").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("at").alias(f"at{x}"))
-    left_over = 1 + F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
-    # Shared s of a union na + nb - s: s * (100 + percent) >= percent * (na + nb).
-    able = (left_over * (100 + percent) >= percent * (F.col("na") + F.col("nb"))) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    # Of two components one at least isn't the one met most; of two such one order is enough.
-    once = (F.col("cb") == F.col("most")) | (F.col("a") > F.col("b"))
-    pairs = side("a").where(F.col("ca") != F.col("most")).join(side("b").drop("most"), "shingle").where((F.col("ca") != F.col("cb")) & once & able)
+    early = early.join(met, "shingle").withColumn("left", F.col("n") - F.col("at"))
+    pairs = _meetings(early, percent)
     swap = F.col("a") < F.col("b")
     of = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x)
     return pairs.select(of("a", "b"), of("b", "a"), of("ca", "cb"), of("cb", "ca")).groupBy("a", "b", "ca", "cb").agg(F.count("*").alias("k"))
