@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import range_buckets
+from .common import discard, materialize, range_buckets, ranges_of
 
 #: Headers that a 304 answer may bring up to date in a stored response.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary", "last-modified")
@@ -62,14 +62,16 @@ def merge_headers(stored: Column, revisit: Column) -> Column:
     return F.map_concat(F.map_filter(stored, lambda k, _: ~F.map_contains_key(fresh, k)), fresh)
 
 
-def resolve_revisits(captures: DataFrame) -> DataFrame:
+def resolve_revisits(captures: DataFrame, *, unchecked: bool = True) -> DataFrame:
     """Resolve every revisit of ``captures``.
 
     Columns read: ``record_id`` long, ``url`` string, ``captured`` timestamp or number,
     ``is_revisit`` boolean, ``headers`` map with lower-case names (null: none). Returns a
     row per revisit: ``record_id, url_key, captured, response_id, validator, resolved,
     headers``. ``resolved`` is false, with the revisit's own headers, if there is no
-    earlier response (``validator`` null) or its validators don't agree.
+    earlier response (``validator`` null) or its validators don't agree. A pair that has no
+    validator in common can't be checked (``validator`` is "none"): with ``unchecked``, the
+    server's word that nothing was modified stands and it is resolved, without it is not.
 
     Earlier means a smaller ``captured``; of responses at one time the largest record id
     counts, and a response at the time of the revisit is not earlier. Rows without URL or
@@ -90,7 +92,10 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     keys = ["url_key", "captured", F.when(F.col("is_revisit"), 0).otherwise(1).alias("kind"), "record_id"]
     rows = rows.withColumn("kind", keys[2])
     keys = [F.col("url_key"), F.col("captured"), F.col("kind"), F.col("record_id")]
-    ranged = range_buckets(rows, keys, "captures")
+    rows = materialize(rows, "captures")  # ranges are drawn from a sample of the rows, which aren't made twice for it
+    size = F.octet_length("url_key") + F.aggregate(F.map_values("headers"), F.lit(64), lambda n, v: n + F.coalesce(F.octet_length(v), F.lit(0)))
+    ranged = range_buckets(rows, keys, "ranges", ranges=ranges_of(rows, size))
+    discard(rows)
     stored = F.when(~F.col("is_revisit"), F.struct("url_key", "record_id", "headers"))
     # The last row of each range, and the last response of its URL in the ranges up to it.
     order = F.struct("url_key", "captured", "kind", "record_id")
@@ -99,13 +104,13 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     carried = ends.select("bucket", F.last("last_response", ignorenulls=True).over(ahead).alias("carried"))
     inside = Window.partitionBy("bucket", "url_key").orderBy("captured", "kind", "record_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = ranged.withColumn("seen", F.last(stored, ignorenulls=True).over(inside)).where("is_revisit")
-    joined = seen.join(F.broadcast(carried), "bucket", "left")
+    joined = seen.join(carried, "bucket", "left")
     earlier = F.coalesce("seen", F.when(F.col("carried.url_key") == F.col("url_key"), F.col("carried")))
     found = joined.select("record_id", "url_key", "captured", "headers", earlier.alias("stored"))
     get = lambda column, name: F.try_element_at(column, F.lit(name))
     check = validators(get(F.col("headers"), "etag"), get(F.col("headers"), "last-modified"), get(F.col("stored.headers"), "etag"), get(F.col("stored.headers"), "last-modified"))
     found = found.withColumn("validator", F.when(F.col("stored").isNotNull(), check))
-    resolved = F.coalesce(F.col("validator") != "mismatch", F.lit(False))
+    resolved = F.coalesce(~F.col("validator").isin("mismatch", *([] if unchecked else ["none"])), F.lit(False))
     out = found.select(
         "record_id",
         "url_key",
