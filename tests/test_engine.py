@@ -1,6 +1,7 @@
 """Routing, batches, positions, settings, sources, streams and registered queries."""
 
 import json
+import os
 import random
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tidelog.config import AppConfig, KafkaConfig, LoggingConfig, StateConfig
 from tidelog.functions.binary import lsn_hex, lsn_text, lsn_value, number_or, operation_label
 from tidelog.functions.frames import frame_bytes
-from tidelog.operators.batching import assign_batches, close_batches
+from tidelog.operators.batching import assign_batches, close_batches, with_batches
 from tidelog.operators.metrics import table_lag, table_metrics
 from tidelog.operators.parse import parse_chunks, records
 from tidelog.operators.route import group_lists, ordered_by_key, route
@@ -71,6 +72,34 @@ def test_batches_of_random_counts(spark):
     assert [r.batch_id for r in assign_batches(df).orderBy("seq").collect()] == want
 
 
+def test_batches_of_single_records_by_expressions_alone(spark, monkeypatch):
+    """Sparse, negative and shuffled chunk numbers, over several blocks and groups of blocks."""
+    from tidelog.operators import batching
+
+    monkeypatch.setattr(batching, "BLOCK_BITS", 3)
+    monkeypatch.setattr(batching, "GROUP_BITS", 2)
+    rng = random.Random(8)
+    seqs = rng.sample(range(-500, 2000), 900)
+    df = spark.createDataFrame([(s, 0, "Insert", f"x{s}") for s in seqs], "seq long, idx int, operation string, _kept string").repartition(5)
+    got = {r.seq: r.batch_id for r in with_batches(df, 7, one_each=True).collect()}
+    assert got == {s: k // 7 for k, s in enumerate(sorted(seqs))}
+    assert {r.seq: r.batch_id for r in with_batches(df, 7).collect()} == got
+    assert with_batches(df.limit(0), one_each=True).count() == 0
+
+
+def test_engine_leaves_nothing_behind(spark, tmp_path):
+    """A micro-batch removes what it wrote in the shared folder."""
+    from tidelog.session import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file://")
+    there = lambda: {os.path.join(d, f) for d, _, names in os.walk(folder) for f in names}
+    before = there()
+    register(spark)
+    write_segment(str(tmp_path / "slot"), 0, _chunks(40))
+    _run(spark, tmp_path / "slot", tmp_path / "check", Pipeline(AppConfig(), memory_sink([])))
+    assert there() == before
+
+
 def test_positions(spark):
     cases = [(24, "0/24", "0/18"), (4294967999, "1/703", "1/2BF"), (2**64 - 1, "4294967295/4294967295", "FFFFFFFF/FFFFFFFF")]
     df = spark.createDataFrame([(str(n), t) for n, t, _ in cases], "n string, t string").withColumn("n", F.col("n").cast("decimal(20,0)"))

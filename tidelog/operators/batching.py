@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,11 +118,37 @@ def assign_batches(counts: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
     return _numbered(counts.select("seq", F.col("n").cast("long").alias("n")), F.col("n"), size)
 
 
-def with_batches(records: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
+#: Bits of a chunk's number within a block, and of a block's within a group of blocks.
+BLOCK_BITS, GROUP_BITS = 16, 12
+
+
+def _one_each(records: DataFrame, size: int) -> DataFrame:
+    """Batches where no chunk has two records: a batch is a running number divided by its size.
+
+    Running numbers are made in blocks of chunk numbers, so none holds more than a fixed
+    number of rows: places in a block, and sums over blocks in two steps. Rows travel once.
+    """
+    block = F.shiftright("seq", BLOCK_BITS)
+    running = lambda by, order: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    counts = records.select(block.alias("_block")).groupBy("_block").agg(F.count("*").alias("_n")).withColumn("_group", F.shiftright("_block", GROUP_BITS))
+    groups = counts.groupBy("_group").agg(F.sum("_n").alias("_in_group"))
+    groups = groups.select("_group", F.coalesce(F.sum("_in_group").over(running([], "_group")), F.lit(0)).alias("_before_group"))
+    before = F.col("_before_group") + F.coalesce(F.sum("_n").over(running(["_group"], "_block")), F.lit(0))
+    starts = counts.join(groups, "_group").select("_block", before.alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_block").orderBy(*[c for c in ("seq", "idx") if c in records.columns]))
+    numbered = records.withColumn("_block", block).join(starts, "_block").withColumn("batch_id", F.col("_before") + place - 1)
+    return numbered.select(*records.columns, F.expr(f"batch_id div {int(size)}").alias("batch_id"))
+
+
+def with_batches(records: DataFrame, size: int = BATCH_SIZE, *, one_each: bool = False) -> DataFrame:
     """Records with their ``batch_id`` (``session.discard`` removes what they are read from); rows that are none (a parse with outcomes) count nothing and go along.
 
-    Chunks without records close no batch, so they needn't be there.
+    Chunks without records close no batch, so they needn't be there. ``one_each``: no chunk
+    has more than one record (as from ``first_frame``), and all rows are records; then
+    built-in expressions alone do it.
     """
+    if one_each:
+        return _one_each(records, size)
     return _numbered(records, F.when(F.col("operation").isNotNull(), 1).otherwise(0), size)
 
 

@@ -53,9 +53,9 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(first_frame(_chunks(spark, sf_dir)))
 
 
-def _batched(records: DataFrame, *columns: str) -> DataFrame:
-    """Batches of records with what is needed of them: all that is kept is sorted and goes through Python."""
-    return with_batches(records.select("seq", "idx", "operation", *columns))
+def _batched(records: DataFrame, *columns: str, one_each: bool = False) -> DataFrame:
+    """Batches of records with what is needed of them, as all that is kept is sorted."""
+    return with_batches(records.select("seq", "idx", "operation", *columns), one_each=one_each)
 
 
 def _long(name: str) -> Column:
@@ -168,15 +168,15 @@ def payload_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_counts(_batched(_records(spark, sf_dir), "table_schema", "table_name"), "batch_id")
+    return group_counts(_batched(_records(spark, sf_dir), "table_schema", "table_name", one_each=True), "batch_id")
 
 
 def batch_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_summary(_batched(_records(spark, sf_dir), "lsn")).select("batch_id", "n", _long("last_lsn"))
+    return batch_summary(_batched(_records(spark, sf_dir), "lsn", one_each=True)).select("batch_id", "n", _long("last_lsn"))
 
 
 def checkpoint_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_position(_batched(_records(spark, sf_dir), "lsn"), DEFAULT_SLOT)
+    return latest_position(_batched(_records(spark, sf_dir), "lsn", one_each=True), DEFAULT_SLOT)
 
 
 def lsn_as_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
