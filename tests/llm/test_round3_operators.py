@@ -197,3 +197,49 @@ def test_a_template_under_the_threshold_compares_nothing(spark):
     want = {(a.class_id, b.class_id) for a in mixed.collect() for b in mixed.collect() if a.class_id < b.class_id and a.component != b.component and (1 + min(a.left, b.left)) * 180 >= 80 * (a.n + b.n) and min(a.n, b.n) * 100 >= max(a.n, b.n) * 80}
     assert got == want and (9001, 9002) in got
     assert {r.component_id == r.doc_id for r in near_duplicates(docs.where('doc_id < 200'), shingle_words=2, percent=80).collect()} == {True}
+
+
+def test_rows_without_an_id_are_drawn_without_regard_to_length(spark):
+    """A quarter of 2000 texts of 1 to 50 tokens that share a null id, then one id: the prefix has all lengths, however the rows lie."""
+    from pyspark.sql import functions as F
+
+    from tidelog.llm.mixing import mix
+
+    rng = random.Random(9)
+    texts = [f"{i:06d}"[:4] * rng.randrange(1, 51) + f"{i}" for i in range(2000)]
+    for doc_id in (None, 5):
+        docs = spark.createDataFrame([(doc_id, t, i) for i, t in enumerate(texts)], "doc_id long, text string, n int")
+        run = lambda df: {(r.n, r.take_tokens) for r in mix(df, {"a": F.lit("x")}, budget_share=(1, 4), weights={}, max_epochs=1, seed=3, keep=["n"]).collect()}  # noqa: B023, E731
+        got = run(docs.repartition(7))
+        assert run(docs.orderBy(F.col("n").desc()).repartition(3)) == got
+        lengths = [-(-len(texts[n].encode()) // 4) for n, _ in got]
+        every = [-(-len(t.encode()) // 4) for t in texts]
+        assert sum(t for _, t in got) == sum(every) // 4 and abs(np.mean(lengths) - np.mean(every)) < 2.5 and max(lengths) > 45 and min(lengths) < 6
+
+
+def test_bands_reject_junk_and_have_no_step(spark):
+    """Bands fitted to clean texts and applied, with figures counted here by the library alone."""
+    import public_tokenizers
+    import sentencepiece
+
+    from tidelog.llm.fertility import ABOVE_COUNTS, SCRIPT_BANDS, blended, clean_bands, fitted, score
+
+    rng = random.Random(1)
+    vocabulary = "the of and to in that is was he for it with as his on be at by had not are but from or have an they which one you were her all she there would their we him been has when who".split()
+    clean = [" ".join(rng.choices(vocabulary, k=rng.randrange(60, 200))) + "." for _ in range(120)]
+    junk = [" ".join("".join(rng.choices("qxzjkvw", k=9)) for _ in range(80)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(clean + junk)] + [(0, "zz " * 70, "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(120)], "doc_id long, quality int")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    bands = clean_bands(docs, labels, path)
+    assert clean_bands(docs.repartition(5), labels, path) == bands  # of an id with two texts always the same one counts
+    kept = {r.doc_id: r.kept for r in score(docs.where("text NOT LIKE 'zz%'"), path, language_bands=bands).collect()}
+    assert sum(kept[i] for i in range(120)) >= 118 and not any(kept[i] for i in range(120, 140))
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    per = lambda t: len(t) / len(model.encode(t))
+    assert max(map(per, junk)) < min(map(per, clean))
+    low = bands["en", "latin"].chars_per_token[0]
+    assert max(map(per, junk)) < low < np.quantile(list(map(per, clean)), 0.05)
+    figures = [(100 + i, 3.0 + i % 7 / 10, 0.0, 5.0 + i % 5 / 10) for i in range(200)]
+    bounds = [blended(fitted(figures[:n]), SCRIPT_BANDS["latin"], n).chars_per_token[0] for n in range(2, 200)]
+    assert max(abs(a - b) for a, b in zip(bounds, bounds[1:])) < 0.12 and bounds[0] < bounds[-1] <= 3.0 and ABOVE_COUNTS > 0

@@ -184,6 +184,7 @@ FROM r
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in sequences of 2048 tokens, each document ended by id 1."""
     from .packing import pack_documents
 
     return pack_documents(_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), end_id=1, capacity=2048)
@@ -252,12 +253,14 @@ def _op5_sql() -> str:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
     from .token_counts import count_tokens
 
     return count_tokens(_documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
 def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose sets of two-word shingles share 80 per cent."""
     from .hyperminhash import near_duplicates
 
     return near_duplicates(_documents(spark, sf_dir), shingle_words=2, percent=80)
@@ -289,6 +292,7 @@ def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written in files of directly addressable codes and read back from them."""
     from .common import scratch
     from .direct_codes import read_documents, write_ids
 
