@@ -243,3 +243,20 @@ def test_bands_reject_junk_and_have_no_step(spark):
     figures = [(100 + i, 3.0 + i % 7 / 10, 0.0, 5.0 + i % 5 / 10) for i in range(200)]
     bounds = [blended(fitted(figures[:n]), SCRIPT_BANDS["latin"], n).chars_per_token[0] for n in range(2, 200)]
     assert max(abs(a - b) for a, b in zip(bounds, bounds[1:])) < 0.12 and bounds[0] < bounds[-1] <= 3.0 and ABOVE_COUNTS > 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_strings_are_text_or_tokens(name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tidelog.llm.encoders import encoder
+
+    path, rng = public_tokenizers.path(name), random.Random(0)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|endof", "text|>", " ", "Hello", "wörld", "\n", "日本", "a<|endoftext|>b"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(8))) for _ in range(300)]
+    for special in (False, True):
+        plain = Tokenizer.from_file(path)
+        plain.encode_special_tokens = not special
+        for text in texts:
+            assert np.frombuffer(encoder(path, special).encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids

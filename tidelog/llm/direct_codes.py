@@ -141,12 +141,14 @@ class Shard:
         return self.slice(int(self.offsets[d]), int(self.offsets[d + 1]))
 
 
-def write_ids(docs: DataFrame, vocabulary: str, path: str, *, end_id: int, shard_ids: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text", widths: tuple[int, ...] = WIDTHS) -> None:
+def write_ids(docs: DataFrame, vocabulary: str, path: str, *, end_id: int, shard_ids: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text", widths: tuple[int, ...] = WIDTHS, special_tokens: bool = False) -> None:
     """Encode every text, append ``end_id``, and write shards at ``path`` in ascending id order.
 
+    ``special_tokens``: strings of special tokens in texts are those tokens, not text.
+
     Texts are dealt into ranges of ids before they are encoded, so ids never move. Null
     and empty texts give the end id alone; null ids come first; repeated ids are ordered
-    by text. A shard ends at the first document at which it has ``shard_ids`` ids, so
+    by a hash of their texts. A shard ends at the first document at which it has ``shard_ids`` ids, so
     memory is bounded by that and the longest text. The number of ranges follows from the
     bytes of all texts. An empty table writes no shard.
     """
@@ -155,7 +157,7 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, *, end_id: int, shard
     ranged = rows.repartitionByRange(ranges_of(rows, F.octet_length("text")), "doc_id", "tie").withColumn("bucket", F.spark_partition_id()).sortWithinPartitions("doc_id", "tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocabulary), array("I", [end_id]).tobytes()
+        enc, end = encoder(vocabulary, special_tokens), array("I", [end_id]).tobytes()
         names, parts, sizes, total, shard, bucket, written = [], [], [0], 0, 0, 0, 0
 
         def flush() -> pa.RecordBatch:

@@ -9,6 +9,10 @@ go through the library's whole pipeline:
 * byte-level rule: between a character that is not white space and a single blank
   followed by a character that is not white space;
 * word rule (white space dropped): at every white space.
+
+Strings of the vocabulary's special tokens in a text are ordinary text (the library's
+``encode_special_tokens``), unless ``special_tokens`` asks for the library's own default,
+by which they are those tokens: then a text that has one goes through the library whole.
 """
 
 from __future__ import annotations
@@ -43,11 +47,13 @@ def _byte_alphabet() -> list[str]:
 class Encoder:
     """``encode(text)`` gives the ids as bytes, unsigned little-endian 32-bit each."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_tokens
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special_tokens else []
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.model = self.tokenizer.model
         self.model._resize_cache(0)  # the caches below take its place
         self.kind = self._kind()
@@ -80,7 +86,7 @@ class Encoder:
         return b"".join([*map(self.pieces.__getitem__, self.rule.findall(text.lower() if self.kind == "word" else text))])
 
     def encode(self, text: str) -> bytes:
-        if self.kind == "whole":
+        if self.kind == "whole" or (self.special and self.special.search(text)):
             return self._library(text)
         if _PLAIN.fullmatch(text):
             return self._plain(text)
@@ -92,6 +98,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_tokens: bool = False) -> Encoder:
     """The encoder of a vocabulary file, one for each Python worker."""
-    return Encoder(path)
+    return Encoder(path, special_tokens)

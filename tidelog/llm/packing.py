@@ -67,7 +67,7 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
     return sequence, offset
 
 
-def cut_pieces(docs: DataFrame, vocabulary: str, *, end_id: int, capacity: int, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut_pieces(docs: DataFrame, vocabulary: str, *, end_id: int, capacity: int, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", special_tokens: bool = False) -> DataFrame:
     """Pieces of every document (:data:`PIECES`), at most ``capacity`` ids each.
 
     ``group_key`` is pseudo-random for each document: a hash of seed, id and ids of its
@@ -76,7 +76,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, *, end_id: int, capacity: int,
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, seen = encoder(vocabulary), Counter()
+        enc, seen = encoder(vocabulary, special_tokens), Counter()
         end = array("I", [end_id]).tobytes()
         step = 4 * capacity
         for batch in batches:
@@ -114,17 +114,18 @@ def pack(pieces: DataFrame, n_groups: int, *, capacity: int) -> DataFrame:
     return grouped.groupBy("pack_group").applyInArrow(place, PLACED)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, *, end_id: int = 1, capacity: int = 2048, group_size: int = 4096, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, *, end_id: int = 1, capacity: int = 2048, group_size: int = 4096, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", special_tokens: bool = False) -> DataFrame:
     """Pack whole documents; one row per piece (:data:`PLACED`).
 
     Null and empty texts are documents of the end id alone. A null id stays null.
+    ``special_tokens``: strings of special tokens in texts are those tokens, not text.
     Repeated rows are packed once per row. An empty table gives no rows. Other columns of
     ``docs`` are not read. ``group_size`` is the expected number of documents in a group,
     the unit that one task holds (about 60 bytes a piece); longer documents make more
     pieces, but only their last is shorter than a sequence.
     """
     n_groups = max(1, -(-docs.count() // group_size))
-    pieces = cut_pieces(docs, vocabulary, end_id=end_id, capacity=capacity, seed=seed, id_col=id_col, text_col=text_col)
+    pieces = cut_pieces(docs, vocabulary, end_id=end_id, capacity=capacity, seed=seed, id_col=id_col, text_col=text_col, special_tokens=special_tokens)
     return pack(pieces, n_groups, capacity=capacity)
 
 
