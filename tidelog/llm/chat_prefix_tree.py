@@ -84,18 +84,18 @@ def _paths(turns: DataFrame, vocabulary: str, loss_roles: tuple[str, ...]) -> Da
                 path, n, out = [], [], []
                 for t in conversation.as_py():
                     head, body, foot = (enc.encode(x) for x in format_turn(t["role"], t["text"]))
-                    ids = np.frombuffer(head + body + foot, "<i4")
                     loss = t["role"] in loss_roles
                     path.append(_turn_digest(t["role"], t["text"]))
-                    n.append(len(ids))
+                    ids = head + body + foot  # as bytes until they are emitted: four a token
+                    n.append(len(ids) // 4)
                     out.append({"ids": ids, "loss_from": len(head) // 4 if loss else 0, "loss_to": (len(head) + len(body)) // 4 if loss else 0})
                 paths.append(b"".join(path))
                 lengths.append(n)
                 tokens.append(out)
-            kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("loss_from", pa.int32()), ("loss_to", pa.int32())]))
+            kind = pa.list_(pa.struct([("ids", pa.binary()), ("loss_from", pa.int32()), ("loss_to", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.binary()), pa.array(lengths, pa.list_(pa.int32())), pa.array(tokens, kind)], ["conv_id", "path", "lengths", "turns"])
 
-    return whole.mapInArrow(run, "conv_id long, path binary, lengths array<int>, turns array<struct<ids: array<int>, loss_from: int, loss_to: int>>")
+    return whole.mapInArrow(run, "conv_id long, path binary, lengths array<int>, turns array<struct<ids: binary, loss_from: int, loss_to: int>>")
 
 
 def _shared_turns(a: bytes, b: bytes) -> int:
@@ -188,9 +188,10 @@ def emit(turns: DataFrame, vocabulary: str, *, loss_roles: tuple[str, ...] = ("a
                 nodes = []
                 for depth in range(k, len(turns_of)):
                     t = turns_of[depth]
-                    n = len(t["ids"])
+                    ids = np.frombuffer(t["ids"], "<i4")
+                    n = len(ids)
                     seen, position = push(at, at + n)
-                    nodes.append({"start": at, "length": n, "position": position, "depth": depth, "ids": t["ids"], "loss_from": t["loss_from"], "loss_to": t["loss_to"], "ancestors": [{"start": s, "end": e} for s, e in seen]})
+                    nodes.append({"start": at, "length": n, "position": position, "depth": depth, "ids": ids, "loss_from": t["loss_from"], "loss_to": t["loss_to"], "ancestors": [{"start": s, "end": e} for s, e in seen]})
                     at += n
                 path = now
                 for column, value in zip(out, (conv, len(turns_of), [x[0] for x in stack], nodes)):
@@ -229,7 +230,10 @@ def read_back(emissions: DataFrame, vocabulary: str) -> DataFrame:
         text_of = lambda ids: b"".join([table[i] for i in ids]).decode()
         for batch in batches:
             roles, texts, losses, sizes = [], [], [], []
-            for ids, a, b in zip(*(batch.column(c).to_pylist() for c in ("ids", "loss_from", "loss_to"))):
+            every = batch.column("ids")
+            values, ends = every.values.to_numpy(), every.offsets.to_numpy()  # of all nodes, without a Python list for each
+            for first, last, a, b in zip(ends[:-1], ends[1:], batch.column("loss_from").to_pylist(), batch.column("loss_to").to_pylist()):
+                ids = values[first:last].tolist()
                 formatted = text_of(ids)
                 role, text = parse_turn(formatted)
                 for column, value in zip((roles, texts, losses, sizes), (role, text, unescape(text_of(ids[a:b])), len(formatted))):
