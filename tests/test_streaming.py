@@ -228,7 +228,7 @@ def test_a_scrape_equals_the_batch_queries(spark, tmp_path, sf_dir, monkeypatch)
             part.write.parquet(f"{tmp_path}/in-{k}")
             query = pipeline.start(stream, str(tmp_path / "check"), available_now=True)
             query.awaitTermination(120)
-            pipeline.counted(query)
+            pipeline.counted()
         now = 4102444800000
         monkeypatch.setattr(monitor_module.time, "time", lambda: now / 1000)
         status, text = _scrape(port)

@@ -30,12 +30,6 @@ def known_slots(wanted: DataFrame, slots: DataFrame) -> DataFrame:
     return wanted.join(slots.select("slot_name"), "slot_name", "left_semi")
 
 
-def create_slot_sql(slot: str) -> str:
-    """SQL that makes a slot through the ordinary protocol."""
-    quoted = slot.replace("'", "''")
-    return f"SELECT pg_create_logical_replication_slot('{quoted}', 'pgoutput')"
-
-
 def single_consumer(queries: DataFrame) -> DataFrame:
     """Slots named by more than one consumer (``slot_name``): a slot allows one."""
     return queries.groupBy("slot_name").agg(F.count("*").alias("consumers")).where(F.col("consumers") > 1)

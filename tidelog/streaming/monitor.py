@@ -28,7 +28,7 @@ class Monitor(StreamingQueryListener):
         self.lock, self.values = threading.Lock(), dict.fromkeys(COUNTERS, 0)
         self.tables: dict[tuple[str, str], dict[str, int]] = {}
         self.last_lsn: int | None = None
-        self.state, self.error, self.query_id = "starting", None, None
+        self.state, self.error, self.query_name, self.query_id = "starting", None, None, None
         self.seen: set[int] = set()
         self.commit_epoch_us = commit_epoch_us
 
@@ -60,11 +60,11 @@ class Monitor(StreamingQueryListener):
                 self.add(**{k: v for k, v in row.asDict().items() if k in COUNTERS and v})
 
     def onQueryStarted(self, event) -> None:
-        if self.query_id is None or str(event.id) == self.query_id:
-            self.state, self.error = "running", None
+        if event.name is not None and event.name == self.query_name:
+            self.state, self.error, self.query_id = "running", None, str(event.id)
 
     def onQueryProgress(self, event) -> None:
-        if str(event.progress.id) == self.query_id:
+        if event.progress.name is not None and event.progress.name == self.query_name:
             self.observed(event.progress.batchId, event.progress.observedMetrics)
 
     def onQueryIdle(self, event) -> None:

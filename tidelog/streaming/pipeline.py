@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import threading
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +54,7 @@ class Pipeline:
         self.config, self.sink, self.quarantine, self.from_position = config, sink, quarantine, from_position
         self.store = store or CheckpointStore(config.state.state_dir).load()
         self.totals = monitor or Monitor()
-        self.batches_before = 0
+        self.batches_before, self.listening = 0, False
         self.running, self.stopping, self.last_done = threading.Lock(), threading.Event(), -1
 
     def rows(self, chunks: DataFrame) -> DataFrame:
@@ -125,41 +126,41 @@ class Pipeline:
             raise
         self.totals.add(messages_sent=told["acknowledged"] if told else n, send_errors=told["failed"] if told else 0)
 
-    def _writer(self, rows: DataFrame, checkpoint: str):
-        return rows.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+    def _started(self, rows: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
+        """Start a query that the monitor hears of, under a name of its own."""
+        if not self.listening:
+            rows.sparkSession.streams.addListener(self.totals)
+            self.listening = True
+        self.totals.query_name = f"tidelog-{uuid.uuid4().hex}"
+        writer = rows.writeStream.queryName(self.totals.query_name).foreachBatch(self.process).option("checkpointLocation", checkpoint)
+        return (writer.trigger(**trigger) if trigger else writer).start()
 
-    def _started(self, query: StreamingQuery) -> StreamingQuery:
-        self.totals.query_id = str(query.id)
-        self.totals.onQueryStarted(query)
-        return query
-
-    def _listen(self, spark: SparkSession) -> None:
-        if not getattr(self, "_listening", False):
-            spark.streams.addListener(self.totals)
-            self._listening = True
+    def _deaf(self, spark: SparkSession) -> None:
+        if self.listening:
+            spark.streams.removeListener(self.totals)
+            self.listening = False
 
     def start(self, chunks: DataFrame, checkpoint: str, *, available_now: bool = False) -> StreamingQuery:
         """Run on a stream of chunks; ``available_now`` ends after what is there, with its positions kept."""
         spark, replication = chunks.sparkSession, self.config.replication
-        self._listen(spark)
         if available_now:
-            return self._started(self._writer(self.rows(chunks), checkpoint).trigger(availableNow=True).start())
+            return self._started(self.rows(chunks), checkpoint, availableNow=True)
         for name, value in STATE_STORE.items():
             spark.conf.set(name, value)
         closed = stream_batches(self.rows(chunks), replication.batch_size, replication.poll_interval_ms, slot=self.config.postgres.slot)
-        return self._started(self._writer(closed, checkpoint).outputMode("append").trigger(processingTime=f"{replication.poll_interval_ms} milliseconds").start())
+        return self._started(closed, checkpoint, processingTime=f"{replication.poll_interval_ms} milliseconds")
 
     def drain(self, chunks: DataFrame, checkpoint: str) -> None:
         """Send all that is there now, in micro-batches as the source limits them, and end."""
-        self._listen(chunks.sparkSession)
-        query = self._started(self._writer(self.rows(chunks), checkpoint).start())
+        query = self._started(self.rows(chunks), checkpoint)
         try:
             query.processAllAvailable()
-            self.counted(query)
+            self.counted()
         finally:
             query.stop()
+            self._deaf(chunks.sparkSession)
 
-    def counted(self, query: StreamingQuery, timeout: float = 10.0) -> None:
+    def counted(self, timeout: float = 10.0) -> None:
         """Wait until the listener has heard of the last micro-batch that was sent."""
         until = time.monotonic() + timeout
         while self.last_done >= 0 and self.last_done not in self.totals.seen and time.monotonic() < until:
@@ -177,4 +178,5 @@ class Pipeline:
                 break
             time.sleep(0.02)
         query.stop()
-        self.counted(query, 2.0)
+        self.counted(2.0)
+        self._deaf(SparkSession.active())
