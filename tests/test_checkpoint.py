@@ -76,3 +76,14 @@ def test_broken_files_stop_the_reader(spark, tmp_path):
         (tmp_path / FILE_NAME).write_text(text)
         with pytest.raises(ValueError):
             CheckpointStore(str(tmp_path), spark).load()
+
+
+def test_a_position_may_be_written_later(spark, tmp_path):
+    store = CheckpointStore(str(tmp_path), spark).open()
+    store.persist("s", "0/3", write=False)
+    assert store.get("s") == "0/3" and CheckpointStore(str(tmp_path), spark).load().get("s") is None
+    store.flush()
+    assert CheckpointStore(str(tmp_path), spark).load().get("s") == "0/3"
+    before = (tmp_path / FILE_NAME).stat().st_mtime_ns
+    store.flush()  # nothing has moved
+    assert (tmp_path / FILE_NAME).stat().st_mtime_ns == before

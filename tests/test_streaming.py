@@ -14,18 +14,19 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.config import AppConfig, KafkaConfig, LoggingConfig
+from tidelog.config import AppConfig, KafkaConfig, ReplicationConfig, StateConfig
 from tidelog.functions.frames import event_chunks, frame_bytes
 from tidelog.operators.parse import parse_chunks, records
 from tidelog.plans.queries import pipeline_metrics, table_lag_query, table_metrics_query
 from tidelog.sources import replication
+from tidelog.sources.checkpoint import CheckpointStore
 from tidelog.sources.replication import ChunkReader, Segment, record_positions, write_segment
 from tidelog.streaming import monitor as monitor_module
 from tidelog.streaming.batches import STATE_STORE, stream_batches
 from tidelog.streaming.monitor import Monitor
 from tidelog.streaming.pipeline import Pipeline
 from tidelog.streaming.producer import Delivery, DeliveryFailed
-from tidelog.streaming.sink import memory_sink, parquet_sink, producer_sink
+from tidelog.streaming.sink import memory_sink, producer_sink
 
 ROWS = "seq long, idx int, error string"
 
@@ -332,3 +333,31 @@ def test_a_signal_ends_the_stream_and_a_restart_goes_on(tmp_path, spark):
     numbers = sorted(r.seq for r in sent())
     assert numbers == sorted(set(numbers)) and set(range(19)) <= set(numbers)
     assert (tmp_path / "position" / "wal_position.json").exists()
+
+
+def test_a_live_stream_keeps_its_position_at_intervals_and_when_it_stops(spark, tmp_path):
+    """The first position is written at once, later ones an interval (here an hour) after it, the last when the stream is stopped."""
+    replication.register(spark)
+    config = AppConfig(replication=ReplicationConfig(batch_size=4), state=StateConfig(str(tmp_path / "position")))
+    sent = []
+    pipeline = Pipeline(config, memory_sink(sent), CheckpointStore(str(tmp_path / "position"), spark).open())
+    write_segment(str(tmp_path / "slot"), 0, [frame_bytes("I", i, i, i, "s", "t") for i in range(4)])
+    query = pipeline.start(spark.readStream.format("tidelog_chunks").option("path", str(tmp_path / "slot")).load(), str(tmp_path / "check"))
+
+    def wait(n):
+        until = time.monotonic() + 60
+        while pipeline.totals.values["messages_sent"] < n and time.monotonic() < until:
+            assert query.isActive, query.exception()
+            time.sleep(0.05)
+
+    stored = lambda: CheckpointStore(str(tmp_path / "position"), spark).load().get(config.postgres.slot)
+    try:
+        wait(4)
+        write_segment(str(tmp_path / "slot"), 4, [frame_bytes("I", i, i, i, "s", "t") for i in range(4, 10)])
+        wait(10)  # two of them by silence
+        assert stored() == "0/3"
+    finally:
+        pipeline.stop(query)
+    assert stored() == "0/9" and not query.isActive
+    assert [(r.seq, r.batch) for _, rows in sent for r in rows] == [(i, i // 4) for i in range(10)]
+    assert pipeline.totals.values["batches_sent"] == 3 and pipeline.totals.values["chunks_received"] == 10

@@ -66,6 +66,7 @@ class CheckpointStore:
         self.folder = Folder(spark or SparkSession.active(), state_dir) if state_dir else None
         self.positions: dict[str, dict] = {}
         self.generation: int | None = None
+        self.unwritten = False
 
     def _generations(self) -> list[int]:
         return sorted(int(m[1]) for m in map(_GENERATION.fullmatch, self.folder.names()) if m)
@@ -117,11 +118,17 @@ class CheckpointStore:
         """Where the slot starts: its position, else the beginning."""
         return self.get(slot) or DEFAULT_POSITION
 
-    def persist(self, slot: str, last_lsn: str, now: int | None = None) -> None:
-        """Move a slot to a position and write the files; a position that isn't further leaves it where it is."""
+    def persist(self, slot: str, last_lsn: str, now: int | None = None, *, write: bool = True) -> None:
+        """Move a slot to a position and (or later, by :meth:`flush`) write the files; one that isn't further leaves it where it is."""
         state = {"last_lsn": last_lsn, "last_commit_time": int(time.time()) if now is None else now}
         self.positions = furthest(self.positions, {slot: state})
-        if not self.folder:
+        self.unwritten = True
+        if write:
+            self.flush()
+
+    def flush(self) -> None:
+        """Write what has moved."""
+        if not self.folder or not self.unwritten:
             return
         self._take()
         self._alone()
@@ -129,6 +136,7 @@ class CheckpointStore:
         self.folder.replace(self._name(self.generation), text)
         self.folder.replace(FILE_NAME, text)
         self._alone()
+        self.unwritten = False
 
 
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:

@@ -43,7 +43,8 @@ class Pipeline:
     number the others (:mod:`~tidelog.operators.batching`).
 
     Delivery is at least once: the position moves, and a batch counts, only after the sink
-    has taken all of it. A failed send is counted and fails the query, after Spark has tried
+    has taken all of it. A live stream writes it every ``state.persist_interval_secs``
+    (Spark's own offsets are kept with every micro-batch), and when it is stopped. A failed send is counted and fails the query, after Spark has tried
     its tasks again; a query that is started again replays from Spark's own offsets. A
     sink that knows what was acknowledged returns the sums, which then count instead of the
     rows. Sources start at a stored position by themselves; a stream of another kind leaves
@@ -55,6 +56,7 @@ class Pipeline:
         self.store = store or CheckpointStore(config.state.state_dir).load()
         self.totals = monitor or Monitor()
         self.batches_before, self.listening = 0, False
+        self.keep_every_s, self.kept_at = 0, float("-inf")
         self.running, self.stopping, self.last_done = threading.Lock(), threading.Event(), -1
 
     def rows(self, chunks: DataFrame) -> DataFrame:
@@ -114,7 +116,9 @@ class Pipeline:
         for t in tables:
             self.totals.add_table(t["table_schema"], t["table_name"], t["commit"], **{k: t[k] for k in ("insert_count", "update_count", "delete_count")})
         last = self.totals.last_lsn = int(max(t["last"] for t in tables)["lsn"])
-        self.store.persist(self.config.postgres.slot, f"{last >> 32}/{last & 0xFFFFFFFF}")
+        due = time.monotonic() - self.kept_at >= self.keep_every_s
+        self.store.persist(self.config.postgres.slot, f"{last >> 32}/{last & 0xFFFFFFFF}", write=due)
+        self.kept_at = time.monotonic() if due else self.kept_at
         log.info("micro-batch %d: %d records in %d batches sent, position %s", batch_id, sum(t["n"] for t in tables), batches, self.store.get(self.config.postgres.slot))
 
     def _send(self, messages: DataFrame, batch_id: int, n: int) -> None:
@@ -145,6 +149,7 @@ class Pipeline:
         spark, replication = chunks.sparkSession, self.config.replication
         if available_now:
             return self._started(self.rows(chunks), checkpoint, availableNow=True)
+        self.keep_every_s = self.config.state.persist_interval_secs
         for name, value in STATE_STORE.items():
             spark.conf.set(name, value)
         closed = stream_batches(self.rows(chunks), replication.batch_size, replication.poll_interval_ms, slot=self.config.postgres.slot)
@@ -178,5 +183,6 @@ class Pipeline:
                 break
             time.sleep(0.02)
         query.stop()
+        self.store.flush()
         self.counted(2.0)
         self._deaf(SparkSession.active())
