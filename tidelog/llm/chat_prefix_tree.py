@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
