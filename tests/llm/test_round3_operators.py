@@ -260,3 +260,31 @@ def test_special_strings_are_text_or_tokens(name):
         plain.encode_special_tokens = not special
         for text in texts:
             assert np.frombuffer(encoder(path, special).encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_bands_are_fitted_to_every_clean_text(spark):
+    """More clean ids than 4096, those that are last by hash unlike the others; the fit by Spark equals the fit of the list."""
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from tidelog.llm.fertility import SCRIPT_BANDS, blended, clean_bands, fitted, measure
+
+    rng, n = random.Random(2), 4300
+    last = {r.id for r in spark.range(n).orderBy(F.xxhash64("id").desc()).limit(100).collect()}
+    common = "the of and to in that is was he for it with as his on be at by had not are but from or have an they which one you were her all".split()
+    rare = "zephyr quixotic labyrinth mnemonic syzygy ptarmigan fjord rhythm xylophone kaleidoscope".split()
+    rows = [(i, " ".join(rng.choices(common + (rare if i in last else []), k=rng.randrange(*((50, 60) if i in last else (70, 160))))), rng.choice(["en", "de", None])) for i in range(n)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    bands = clean_bands(docs, labels, path)
+    figures = [(r.lang, (r.n_tokens, r.chars_per_token, r.byte_share, r.token_entropy)) for r in measure(docs, path).collect() if not r.base_failed]
+    assert len(figures) > 4250
+    above = blended(fitted([f for _, f in figures]), SCRIPT_BANDS["latin"], len(figures))
+    want = {(None, "latin"): above}
+    for lang in ("en", "de"):
+        own = [f for x, f in figures if x == lang]
+        want[lang, "latin"] = blended(fitted(own), above, len(own))
+    assert bands.keys() == want.keys()
+    for k, band in want.items():
+        flat = lambda b: [*b.chars_per_token, b.byte_share, *b.entropy, b.min_tokens, *[v for p in b.floor for v in p]]
+        assert flat(bands[k]) == pytest.approx(flat(band), abs=3e-4)

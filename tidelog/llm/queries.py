@@ -284,11 +284,10 @@ SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS
 
 
 def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document, in bands set from the documents that ``labels`` call clean."""
-    from .fertility import clean_bands, score
+    """Every document, in bands set from all documents that ``labels`` call clean."""
+    from .fertility import score_by_labels
 
-    docs, path = _documents(spark, sf_dir), vocabulary("piece_bpe_32k.model")
-    return score(docs, path, language_bands=clean_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), path))
+    return score_by_labels(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), vocabulary("piece_bpe_32k.model"))
 
 
 def op9_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
