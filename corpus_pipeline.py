@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import remove, scratch
-from tidelog.llm.fertility import clean_bands, score
+from tidelog.llm.common import discard, remove, scratch
+from tidelog.llm.fertility import score_by_labels
 from tidelog.llm.hyperminhash import near_duplicates
 from tidelog.llm.mixing import mix
 from tidelog.llm.packing import pack_documents
@@ -22,11 +22,11 @@ NAMELESS = 1 << 61
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the fertility bands of the clean ones in ``labels``; texts stay in place."""
-    path = vocabulary("piece_bpe_32k.model")
-    bands = clean_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), path)
-    scored = score(docs, path, language_bands=bands, keep=COLUMNS)
-    return scored.where("kept").select([F.col(f"kept_{c}").alias(c) for c in COLUMNS])
+    """Documents that pass the base rules and the fertility bands of all clean ones in ``labels``."""
+    scored = score_by_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), vocabulary("piece_bpe_32k.model"), keep=COLUMNS, base_passed=True)
+    out = scored.where("kept").select([F.col(f"kept_{c}").alias(c) for c in COLUMNS])
+    out._tidelog_path = scored._tidelog_path
+    return out
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +73,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = None
     for name, stage in STAGES:
         path = scratch(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        staged = stage(spark, docs, sf_dir)
+        staged.write.parquet(path)
+        discard(staged)
         docs = spark.read.parquet(path)
         if before:
             remove(spark, before)
