@@ -361,3 +361,30 @@ def test_a_live_stream_keeps_its_position_at_intervals_and_when_it_stops(spark,
     assert stored() == "0/9" and not query.isActive
     assert [(r.seq, r.batch) for _, rows in sent for r in rows] == [(i, i // 4) for i in range(10)]
     assert pipeline.totals.values["batches_sent"] == 3 and pipeline.totals.values["chunks_received"] == 10
+
+
+def test_a_micro_batch_reaches_the_state_in_blocks_and_columns_come_back(spark, tmp_path):
+    """Records travel as few rows, whatever their number; values of any type, and slots, come back as they were."""
+    from tidelog.streaming import batches
+
+    schema, base = "s string, seq long, idx int, error string, big long, d decimal(20,0), b binary, t struct<x:array<string>>", str(tmp_path)
+    for name, value in STATE_STORE.items():
+        spark.conf.set(name, value)
+    n = 3 * batches.BLOCK
+    rows = [("ab"[i % 2], i, 0, None, None if i % 3 else 2**60 + i, Decimal(2**64 - 1 - i), bytes([i % 256, 255]), ([str(i), None],)) for i in range(n)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{base}/in")
+    closed = stream_batches(spark.readStream.schema(schema).parquet(f"{base}/in"), 100, 600_000, slot_col="s")
+    got, taken = [], lambda df, batch_id: got.extend(df.collect())
+    query = closed.writeStream.foreachBatch(taken).option("checkpointLocation", f"{base}/check").start()
+    try:
+        until = time.monotonic() + 60
+        while not got and time.monotonic() < until:
+            time.sleep(0.1)
+            assert query.isActive, query.exception()
+        updated = max(o.numRowsTotal for p in query.recentProgress for o in p.stateOperators) if query.recentProgress else 0
+    finally:
+        query.stop()
+    want = [(s, k // 100, *r[1:]) for s in "ab" for k, r in enumerate([r for r in rows if r[0] == s]) if k // 100 < n // 2 // 100]
+    plain = lambda r: (r.slot, r.batch, r.seq, r.idx, r.error, r.big, r.d, bytes(r.b), (r.t.x,))
+    assert [plain(r) for r in sorted(got, key=lambda r: (r.slot, r.seq))] == want
+    assert updated <= 20  # a block a slot, a number and a timer, not a row for each open record

@@ -7,7 +7,7 @@ computes the same answers without any bytes.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -354,21 +354,25 @@ def config_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(out, "event_type string, k string, v string")
 
 
+#: Events that a micro-batch of :func:`stream_batches_query` brings, about: the limit of its reader.
+MICRO_BATCH = 1_000_000
+
+
 def stream_batches_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batches of ``batch_boundaries`` from a stream: events come in four parts, a part or more a micro-batch.
+    """The batches of ``batch_boundaries`` from a stream: events come in four parts, or more of bounded size, each a micro-batch.
 
     The open batch is in the state store between micro-batches. The query is then started
     again, and a chunk without records is the last that it gets: silence after it closes the
     last batch.
     """
-    base, events = scratch(spark, "batches"), _events(spark, sf_dir)
+    base, events = scratch(spark, "batches"), _events(spark, sf_dir).where("event_id IS NOT NULL")
     found = events.agg(F.count("*").alias("n"), F.min("event_id").alias("least"), F.max("event_id").alias("most")).first()
     arrived, out = f"{base}/events", f"{base}/out"
     events.limit(0).write.parquet(arrived)
     before = {name: spark.conf.get(name, None) for name in STATE_STORE}
 
-    def run(idle_ms: int, put: Callable[[], None], done: Callable[[list[int]], bool]) -> None:
-        seen = [0, 0]  # rows that came in, rows that went out
+    def run(idle_ms: int, puts: Iterator[int], done: Callable[[list[int]], bool]) -> None:
+        seen, put = [0, 0], 0  # rows that came in, rows that went out; rows that were put
         came: dict[int, int] = {}  # rows of each micro-batch
 
         def take(rows: DataFrame, batch_id: int) -> None:
@@ -381,34 +385,38 @@ def stream_batches_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = parsed.select("seq", F.when(F.col("operation").isNotNull(), F.col("idx")).alias("idx"), "lsn")
         query = stream_batches(rows, idle_ms=idle_ms).writeStream.foreachBatch(take).option("checkpointLocation", f"{base}/state").start()
         try:
-            put()
             while query.isActive and not done(seen):
                 came |= {p.batchId: max(p.numInputRows, came.get(p.batchId, 0)) for p in query.recentProgress}
                 seen[0] = sum(came.values())
+                if seen[0] >= put:  # the next part waits until this one was taken
+                    put += next(puts, 0)
                 time.sleep(0.05)
         finally:
             query.stop()
         if query.exception():
             raise query.exception()
 
-    def put_parts() -> None:
-        step = (found["most"] - found["least"]) // 4 + 1
-        for k in range(4):
-            first = found["least"] + k * step
-            events.where((F.col("event_id") >= first) & (F.col("event_id") < first + step)).write.parquet(f"{arrived}{k}")
+    def parts() -> Iterator[int]:
+        ranges = max(4, -(-found["n"] // MICRO_BATCH))
+        events.repartitionByRange(ranges, "event_id").withColumn("part", F.spark_partition_id()).write.partitionBy("part").parquet(f"{base}/parts")
+        counts = spark.read.parquet(f"{base}/parts").groupBy("part").count().orderBy("part").collect()
+        for part, n in counts:
+            spark.read.schema(events.schema).parquet(f"{base}/parts/part={part}").write.parquet(f"{arrived}{part}")
+            yield n
 
-    def put_empty_chunk() -> None:
+    def empty_chunk() -> Iterator[int]:
         last = events.where(F.col("event_id") == found["most"]).limit(1)
         last.select((F.expr("event_id div 5 * 5 + 9")).alias("event_id"), "ts", "event_type").write.parquet(f"{arrived}-last")  # its code emits nothing
+        yield 1
 
     try:
         for name, value in STATE_STORE.items():
             spark.conf.set(name, value)
         if found["n"]:
-            run(3_600_000, put_parts, lambda seen: seen[0] >= found["n"])
+            run(3_600_000, parts(), lambda seen: seen[0] >= found["n"])
             sent = spark.read.parquet(f"{out}/idle=3600000").count()
             total = records(first_frame(event_chunks(events))).count()
-            run(10, put_empty_chunk, lambda seen: sent + seen[1] >= total)
+            run(10, empty_chunk(), lambda seen: sent + seen[1] >= total)
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
