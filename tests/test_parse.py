@@ -225,3 +225,11 @@ def test_values_read_from_messages(spark):
     assert {(int(r.lsn), int(r.tx_xid), r.old_tuple, r.tx_commit_time) for r in rows} == {(2**64 - 1, 2**64 - 2, None, -1)}
     with pytest.raises(Exception):
         spark.createDataFrame([("{broken",)], "m string").select(read_message(F.col("m")).alias("r")).select("r.lsn").collect()
+
+
+def test_a_message_is_parsed_once(spark):
+    """Not once for each field that is taken from it: generators and functions don't share common parts."""
+    from tidelog.functions.values import read_message
+
+    df = spark.createDataFrame([("{}",)], "m string").select(F.inline(F.array(read_message(F.col("m")))))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1

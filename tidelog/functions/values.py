@@ -28,6 +28,10 @@ MESSAGE_RECORD = T.StructType([
 ])
 
 
+#: Schemas of variants that are numbers with a point, or beyond 64 bits.
+_FLOAT = "^(DECIMAL|DOUBLE|FLOAT)"
+
+
 def text_value(value: Column) -> Column:
     return value.cast("string").cast("variant")
 
@@ -67,7 +71,7 @@ def kind_of(value: Column) -> Column:
         F.when(form.isNull() | (form == "VOID"), F.lit(None).cast("string"))
         .when(form == "STRING", "String")
         .when(form.rlike("^(TINYINT|SMALLINT|INT|BIGINT)$"), "Integer")
-        .when(form.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "Float")
+        .when(form.rlike(_FLOAT), "Float")
         .when(form == "BOOLEAN", "Boolean")
         .otherwise("Json")
     )
@@ -75,7 +79,7 @@ def kind_of(value: Column) -> Column:
 
 def _read(value: Column) -> Column:
     number = F.try_variant_get(value, "$", "double").cast("variant")
-    return F.when(~F.is_variant_null(value), F.when(kind_of(value) == "Float", number).otherwise(value))
+    return F.when(~F.is_variant_null(value), F.when(F.schema_of_variant(value).rlike(_FLOAT), number).otherwise(value))
 
 
 def read_message(value: Column) -> Column:
@@ -84,9 +88,10 @@ def read_message(value: Column) -> Column:
     A value of null in a message is no value, as a null column has none. Values are of their
     :func:`kind_of`, so that a message made from the record again is the same.
     """
-    record = F.from_json(value, MESSAGE_RECORD, {"mode": "FAILFAST"})
-    columns = lambda name: F.when(
-        record[name].isNotNull(),
-        F.struct(F.transform(record[name]["columns"], lambda c: F.struct(c["name"].alias("name"), c["type_oid"].alias("type_oid"), _read(c["value"]).alias("value"), c["is_null"].alias("is_null"))).alias("columns")),
+    columns = lambda row: F.when(
+        row.isNotNull(),
+        F.struct(F.transform(row["columns"], lambda c: F.struct(c["name"].alias("name"), c["type_oid"].alias("type_oid"), _read(c["value"]).alias("value"), c["is_null"].alias("is_null"))).alias("columns")),
     )
-    return F.struct(*[(columns(f) if f in ("new_tuple", "old_tuple") else record[f]).alias(f) for f in MESSAGE_RECORD.names])
+    fields = lambda record: F.struct(*[(columns(record[f]) if f in ("new_tuple", "old_tuple") else record[f]).alias(f) for f in MESSAGE_RECORD.names])
+    # A variable of a function, so that the text is parsed once and not for each use of a field.
+    return F.get(F.transform(F.array(F.from_json(value, MESSAGE_RECORD, {"mode": "FAILFAST"})), fields), F.lit(0))
