@@ -292,3 +292,45 @@ def test_components(spark, one_task):
     df = spark.createDataFrame(edges, "a long, b long")
     assert {r.node: r.component for r in components(df, "t", one_task).collect()} == {x: root(x) for x in parent}
     assert components(df.limit(0), "t", one_task).count() == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_many_texts_at_once_are_encoded_as_the_library_does(name, monkeypatch):
+    """All kinds of neighbours, small slices and a cache that is cut again and again."""
+    import random
+
+    import pyarrow as pa
+
+    from tidelog.llm import encoders
+
+    rng = random.Random(3)
+    parts = ["'", "'s", "'re", "'ll", "'S", "s", "t", "re", "ve", "a", "Bc", " ", "  ", "\n", "\t", "\r", "1", "23", "_", "-", "!", "é", "Ⱥ", "Ǆ", "…"]
+    texts = [None, "", " ", "\n ", " \n", "'", "'s", "x" * 5000, "日本 a"] + ["".join(rng.choices(parts + ["\0", "\x1c", "\xa0", "²", "日"] * (i % 2), k=rng.randrange(14))) for i in range(4000)]
+    monkeypatch.setattr(encoders, "TOGETHER", 3000)
+    enc, ref = encoders.Encoder(public_tokenizers.path(name), cached=50), _ids(name, 7)
+    assert [array("I", x).tolist() for x in enc.encode_all(pa.array(texts))] == [ref(t)[:-1] for t in texts]
+    assert len(enc.often.values) <= 50
+    assert list(enc.encode_all(pa.array([], pa.string()))) == []
+
+
+def test_a_task_of_packing_leaves_no_cache_behind(monkeypatch):
+    """The worker goes on to other stages: what it kept for a text is given back at the task's end."""
+    import pyarrow as pa
+
+    from tidelog.llm import packing
+    from tidelog.llm.encoders import encoder
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(packing, "F", type("F", (), {"col": lambda c: type("C", (), {"cast": lambda s, t: s, "alias": lambda s, a: s})()}))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    run = packing.cut_pieces(Docs(), path, end_id=1, capacity=64)
+    done = list(run(iter([pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words", "日本 words"])], ["doc_id", "text"])])))
+    assert sum(b.num_rows for b in done) == 2
+    enc = encoder(path, False, packing.CACHED)
+    assert not enc.often.values and not enc.pieces and not enc.pieces.old

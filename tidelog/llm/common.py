@@ -124,3 +124,39 @@ class TwoGenerations(dict):
                 self.clear()
             self[key] = value
         return value
+
+
+class MostUsed:
+    """A cache of bounded size for many keys at once: when full, the half that was found most often stays.
+
+    ``make`` gives the value of a key; keys over ``longest`` are not kept. Counts are halved
+    when the cache is cut, so that what is used no more goes in time.
+    """
+
+    def __init__(self, make, most: int, longest: int = 64):
+        self.make, self.most, self.longest, self.values, self.found = make, most, longest, {}, {}
+
+    def of(self, keys: list, counts: list[int]) -> list:
+        """The value of each key; ``counts``: how often it occurs this time."""
+        values, found, out = self.values, self.found, []
+        for key, n in zip(keys, counts):
+            value = values.get(key)
+            if value is not None:
+                found[key] += n
+            else:
+                value = self.make(key)
+                if len(key) <= self.longest:
+                    if len(values) >= self.most:
+                        self._cut()
+                        values, found = self.values, self.found
+                    values[key], found[key] = value, n
+            out.append(value)
+        return out
+
+    def _cut(self) -> None:
+        least = sorted(self.found.values())[-(self.most // 2)] if self.most > 1 else 0
+        self.found = {k: n // 2 for k, n in self.found.items() if n > least}
+        self.values = {k: self.values[k] for k in self.found}
+
+    def clear(self) -> None:
+        self.values, self.found = {}, {}

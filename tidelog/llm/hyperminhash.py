@@ -172,7 +172,7 @@ def _bands(classes: DataFrame, buckets: int, rows: int) -> DataFrame:
                 row = pa.array(np.repeat(np.arange(some.num_rows), found.shape[1]))
                 yield pa.RecordBatch.from_arrays([pa.array(found.ravel().view("i8")), some.column(0).take(row), some.column(1).take(row)], ["band", "class_id", "n"])
 
-    return classes.select("class_id", F.col("n_shingles").cast("int").alias("n"), "sig").mapInArrow(run, "band long, class_id long, n int")
+    return classes.select("class_id", F.col("n_shingles").cast("int").alias("n"), "sig").mapInArrow(tidy(run), "band long, class_id long, n int")
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, threshold: float, errors: float) -> DataFrame:
@@ -190,7 +190,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float, errors: floa
             keep = pa.array(value >= threshold - errors * np.sqrt(threshold * (1 - threshold) / base))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(keep)
 
-    return joined.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(tidy(run), "a long, b long")
 
 
 FILTER_BITS = 1 << 26
