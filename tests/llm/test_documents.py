@@ -313,6 +313,19 @@ def test_many_texts_at_once_are_encoded_as_the_library_does(name, monkeypatch):
     assert list(enc.encode_all(pa.array([], pa.string()))) == []
 
 
+def test_each_pre_token_is_looked_up_once(monkeypatch):
+    """A slice costs one lookup for each distinct pre-token, not one for each that stands in it."""
+    import pyarrow as pa
+
+    from tidelog.llm.encoders import Encoder
+
+    enc, asked = Encoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    of = enc.often.of
+    monkeypatch.setattr(enc.often, "of", lambda keys, counts: asked.extend(keys) or of(keys, counts))
+    list(enc.encode_all(pa.array(["one two one two " * 500] * 20)))
+    assert len(asked) == len(set(asked)) < 10
+
+
 def test_a_task_of_packing_leaves_no_cache_behind(monkeypatch):
     """The worker goes on to other stages: what it kept for a text is given back at the task's end."""
     import pyarrow as pa

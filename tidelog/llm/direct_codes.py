@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ranges_of
+from .common import ranges_of, tidy
 from .encoders import encoder
 
 MAGIC = b"DAC1"
@@ -169,8 +169,8 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, *, end_id: int, shard
             )
 
         for batch in batches:
-            for doc, text, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                ids = enc.encode(text.as_py()) + end
+            for doc, ids, b in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1)), batch.column(2).to_pylist()):
+                ids += end
                 bucket, total = b, total + len(ids) // 4
                 names.append(doc)
                 parts.append(ids)
@@ -181,7 +181,7 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, *, end_id: int, shard
         if names:
             yield flush()
 
-    ranged.select("doc_id", "text", "bucket").mapInArrow(run, SHARDS).write.parquet(path)
+    ranged.select("doc_id", "text", "bucket").mapInArrow(tidy(run), SHARDS).write.parquet(path)
 
 
 #: A table of ranges of at most this many rows (16 bytes each) goes to all tasks; a longer one is joined by shuffle.
